@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from orbitgrain.llm.quality_rules import op6_quality_rules
+from orbitgrain.llm.sharding import op2_sharding
 from orbitgrain.llm.token_counts import op8_token_counts
 
-QUERIES = {f.__name__: f for f in (op8_token_counts,)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op6_quality_rules, op8_token_counts)}
 
 ORACLES: dict[str, str] = {}
