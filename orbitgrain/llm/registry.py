@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from orbitgrain.llm.decontamination import op4_decontamination
 from orbitgrain.llm.language_id import op10_language_id
 from orbitgrain.llm.license_scan import op3_license_scan
 from orbitgrain.llm.quality_rules import op6_quality_rules
+from orbitgrain.llm.sentence_pieces import op5_sentence_pieces
 from orbitgrain.llm.sharding import op2_sharding
 from orbitgrain.llm.token_counts import op8_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_license_scan, op6_quality_rules, op8_token_counts, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op8_token_counts, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
