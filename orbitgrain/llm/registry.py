@@ -5,6 +5,7 @@ from __future__ import annotations
 from orbitgrain.llm.decontamination import op4_decontamination
 from orbitgrain.llm.language_id import op10_language_id
 from orbitgrain.llm.license_scan import op3_license_scan
+from orbitgrain.llm.lm_scoring import op1_lm_scoring
 from orbitgrain.llm.near_dedup import op9_near_dedup
 from orbitgrain.llm.quality_rules import op6_quality_rules
 from orbitgrain.llm.sentence_pieces import op5_sentence_pieces
@@ -12,6 +13,6 @@ from orbitgrain.llm.sharding import op2_sharding
 from orbitgrain.llm.suffix_dedup import op7_suffix_dedup
 from orbitgrain.llm.token_counts import op8_token_counts
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
