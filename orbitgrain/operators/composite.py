@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +33,13 @@ def block_median(blocks: DataFrame, keys=("bx", "by"), bands=BANDS) -> DataFrame
     def reduce_block(key: tuple, table: pa.Table) -> pa.Table:
         out = {k: [v.as_py()] for k, v in zip(keys, key, strict=True)}
         for b in bands:
-            stack = np.array([[np.nan if x is None else x for x in look] for look in table.column(b).to_pylist()], np.float32)
+            column = table.column(b).combine_chunks()
+            flat = pc.fill_null(column.flatten(), float("nan")).to_numpy(zero_copy_only=False)
+            stack = flat.reshape(len(column), -1)
             some = ~np.isnan(stack).all(0)
             middle = np.full(stack.shape[1], np.nan, np.float32)
             middle[some] = np.nanmedian(stack[:, some], 0)
-            out[b] = [[None if np.isnan(x) else float(x) for x in middle]]
+            out[b] = pa.array([pa.array(middle, from_pandas=True).to_pylist()], pa.list_(pa.float32()))
         schema = pa.schema([*((k, pa.int32() if kinds[k] == "int" else pa.int64()) for k in keys), *((b, pa.list_(pa.float32())) for b in bands)])
         return pa.table(out, schema=schema)
 
