@@ -363,8 +363,17 @@ def covered(n: int, whole: list[int] | None, spans: list[int] | None) -> np.ndar
 
 
 def _joined(docs: DataFrame) -> DataFrame:
+    """(row, found): each row of ``docs`` whole, so that its names cannot clash, and what repeats in it."""
     found = repeats(docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    return docs.join(found.withColumnRenamed("doc_id", "_doc_id"), F.col("doc_id").cast("long") == F.col("_doc_id"), "left").drop("_doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("k"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return rows.join(found.select(F.col("doc_id").alias("k"), F.struct("whole", "spans").alias("found")), "k", "left").drop("k")
+
+
+def _opened(batch: pa.RecordBatch) -> tuple[dict[str, pa.Array], list[tuple]]:
+    """The columns of a batch's rows, and (whole, spans) of each."""
+    row = batch.column("row")
+    found = [(None, None) if f is None else (f["whole"], f["spans"]) for f in batch.column("found").to_pylist()]
+    return {row.type.field(i).name: row.field(i) for i in range(row.type.num_fields)}, found
 
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:
@@ -377,15 +386,15 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
 
     def make():
         def step(batch):
+            columns, found = _opened(batch)
             out = []
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for text, whole, spans in zip(texts, batch.column("whole").to_pylist(), batch.column("spans").to_pylist(), strict=True):
+            for text, (whole, spans) in zip(columns["text"].cast(pa.binary()).to_pylist(), found, strict=True):
                 text = text or b""
                 gone = covered(len(text), whole, spans)
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if gone.any() else text
                 out.append((len(text), int(gone.sum()), len(runs(gone)), hashlib.sha256(kept).hexdigest()))
-            found = list(zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(f, pa.int64()) for f in found[:3]), pa.array(found[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            sizes = list(zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([columns["doc_id"], *(pa.array(f, pa.int64()) for f in sizes[:3]), pa.array(sizes[3], pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
         return step
 
@@ -402,13 +411,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def make():
         def step(batch):
-            texts = batch.column("text").to_pylist()
-            for i, (whole, spans) in enumerate(zip(batch.column("whole").to_pylist(), batch.column("spans").to_pylist(), strict=True)):
+            columns, found = _opened(batch)
+            texts = columns["text"].to_pylist()
+            for i, (whole, spans) in enumerate(found):
                 if (whole or spans) and texts[i]:
                     raw = texts[i].encode()
                     texts[i] = np.frombuffer(raw, np.uint8)[~covered(len(raw), whole, spans)].tobytes().decode("utf-8", "ignore")
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
-            return pa.RecordBatch.from_arrays(columns, names)
+            return pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else columns[c] for c in names], names)
 
         return step
 
