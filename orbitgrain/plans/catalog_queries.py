@@ -653,3 +653,26 @@ def _(v):
 @q("f15_fingerprint", "SELECT item_id, sha256('{\"attempts\":' || attempts || ',\"status\":\"' || status || '\"}') AS fingerprint FROM jobs_v")
 def _(v):
     return v("jobs_v").select("item_id", s.fingerprint("status", "attempts").alias("fingerprint"))
+
+
+@q("o03_max_items", "SELECT item_id FROM (SELECT * FROM items_v ORDER BY acquired, item_id LIMIT 200) WHERE cloud_cover IS NULL OR cloud_cover <= 50")
+def _(v):
+    return catalog.search_items(v("items_v"), max_cloud=50, max_items=200).select("item_id")
+
+
+EARLY = "(SELECT * FROM items_v WHERE acquired < TIMESTAMP '1996-01-01')"
+
+
+@q("t03_bootstrap_then_follow", f"""
+WITH b AS ({LATEST.format(t=EARLY, o='acquired DESC, published DESC, item_id DESC')}), ig AS (SELECT item_id FROM {EARLY} ANTI JOIN b USING (item_id))
+SELECT item_id FROM items_v ANTI JOIN ig USING (item_id) WHERE acquired >= TIMESTAMP '1995-12-29'""")
+def _(v):
+    items = v("items_v")
+    ignored = selection.bootstrap(items.filter("acquired < timestamp'1996-01-01'"))[1]
+    return selection.new_items(items.filter("acquired >= timestamp'1995-12-29'"), ignored).select("item_id")
+
+
+@q("t08_late_entries", "SELECT i.item_id FROM items_v i ANTI JOIN (SELECT item_id FROM jobs_v WHERE item_datetime < TIMESTAMP '1996-01-01') j USING (item_id) WHERE acquired >= TIMESTAMP '1995-12-29'")
+def _(v):
+    known = v("jobs_v").filter("item_datetime < timestamp'1996-01-01'")
+    return selection.new_items(v("items_v").filter("acquired >= timestamp'1995-12-29'"), known).select("item_id")

@@ -464,3 +464,12 @@ def _(v):
 def _(v):
     rule = m.OrbitRule("own", 0.01, 0.0, 300, ("cloudmask < 2",), ("terrain < 30",))
     return keyed(m.screen_orbit(v("pixels_v"), rule), *NAMES)
+
+
+@q("p14_pixel_window", "SELECT item_id, n, cx, cy FROM pixels_v WHERE cx BETWEEN 3 AND 9 AND cy BETWEEN 2 AND 6")
+def _(v):
+    from orbitgrain.functions.predicates import in_pixel_window, pixel_window
+
+    window = pixel_window((1060.0, 1460.0, 1195.0, 1960.0), (20, 10), (1000.0, 20.0, 0.0, 2000.0, 0.0, -100.0))
+    left, top, width, height = window
+    return v("pixels_v").filter(in_pixel_window((left, top + 2, width, height - 1))).select("item_id", "n", "cx", "cy")
