@@ -525,10 +525,13 @@ def _(v):
     return upserts.requeue_terminal(jobs, v("assets_v").select("item_id", "asset_key", "status", F.lit(1).alias("attempts")))[0].select("item_id", "status", "attempts")
 
 
-@q("t01_incremental", "SELECT item_id, count(*) AS n FROM attempts_v GROUP BY 1")
+@q("t01_incremental", f"SELECT item_id, {at('min(ts)')} AS first_seen, count(*) - 1 AS dropped FROM attempts_v WHERE ts >= TIMESTAMP '2024-01-20' - INTERVAL 72 HOUR AND ts <= TIMESTAMP '2024-01-28' GROUP BY 1")
 def _(v):
-    seen = v("attempts_v")
-    return seen.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    from datetime import datetime
+
+    start, _ = state.discovery_window(datetime(2024, 1, 20), datetime(2024, 1, 28))
+    seen = v("attempts_v").filter(p.in_time_range("ts", start, datetime(2024, 1, 28)))
+    return seen.groupBy("item_id").agg(F.min("ts").alias("first_seen"), (F.count(F.lit(1)) - 1).alias("dropped")).select("item_id", ts("first_seen"), "dropped")
 
 
 @q("t02_high_water", f"SELECT {at('max(item_datetime)')} AS mark, count(DISTINCT item_id) AS items FROM jobs_v")
