@@ -165,7 +165,7 @@ class Lattices:
         char[at_depth[depth + 1] + rank] = chars
         last = np.empty(len(units), np.int64)
         last[order] = at_depth[size] + np.arange(len(units))
-        return Lattices(last, first, count.astype(np.int32), source, piece, below, char)
+        return Lattices(last.astype(np.int32), first.astype(np.int32), count.astype(np.int32), source.astype(np.int32), piece, below, char)
 
     def sample(self, units: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of each unit asked for, last to first: (which, piece), backward sampling in lock-step.
@@ -197,23 +197,33 @@ class Lattices:
 class Sampler:
     """Encodes texts; keeps the lattices of ``cache_units`` units at most, then starts anew."""
 
-    def __init__(self, model: PieceModel, seed: int = 0, cache_units: int = 250_000, chars_at_once: int = 4_000_000):
+    def __init__(self, model: PieceModel, seed: int = 0, cache_units: int = 150_000, chars_at_once: int = 1_000_000):
         self.model, self.seed, self.cache_units, self.at_once = model, seed, cache_units, chars_at_once
         self.index: dict[str, int] = {}
         self.kept: Lattices | None = None
-
-    def _add(self, units: list[str]) -> None:
-        new = Lattices.of(units, self.model)
-        old = self.kept
-        if old is not None:
-            nodes, edges = len(old.first), len(old.source)
-            new = Lattices(
-                np.r_[old.last, new.last + nodes], np.r_[old.first, new.first + edges], np.r_[old.count, new.count],
-                np.r_[old.source, new.source + nodes], np.r_[old.piece, new.piece], np.r_[old.below, new.below], np.r_[old.char, new.char],
-            )
-        for u in units:
-            self.index[u] = len(self.index)
-        self.kept = new
+        self.nodes = self.edges = 0
+
+    def _add(self, units: list[str], at_once: int = 25_000) -> None:
+        """Append lattices to the kept arrays, some units at a time; arrays grow by doubling."""
+        for i in range(0, len(units), at_once):
+            new = Lattices.of(units[i : i + at_once], self.model)
+            n_units, n_nodes, n_edges = len(self.index), self.nodes, self.edges
+            new.last += n_nodes
+            new.first += n_edges
+            new.source += n_nodes
+            if self.kept is None:
+                self.kept = new
+            else:
+                for name, used in (("last", n_units), ("first", n_nodes), ("count", n_nodes), ("char", n_nodes), ("source", n_edges), ("piece", n_edges), ("below", n_edges)):
+                    old, more = getattr(self.kept, name), getattr(new, name)
+                    if used + len(more) > len(old):
+                        grown = np.empty(max(2 * len(old), used + len(more)), old.dtype)
+                        grown[:used] = old[:used]
+                        setattr(self.kept, name, old := grown)
+                    old[used : used + len(more)] = more
+            self.nodes, self.edges = n_nodes + len(new.first), n_edges + len(new.source)
+            for u in units[i : i + at_once]:
+                self.index[u] = len(self.index)
 
     def encode(self, texts: list[str], keys: list[int]) -> list[np.ndarray]:
         """Piece ids of each text under its row key."""
@@ -235,7 +245,7 @@ class Sampler:
         if missed:
             if len(index) + len(missed) > self.cache_units:
                 index.clear()
-                self.kept = None
+                self.kept, self.nodes, self.edges = None, 0, 0
                 missed = list(dict.fromkeys(u for units in split for u in units))
             self._add(missed)
         sizes = np.array([len(s) for s in split], np.int64)
