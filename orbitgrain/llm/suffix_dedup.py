@@ -329,7 +329,9 @@ def hashed_spans(surrounded: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, hot_surroundings: int = 2000, block_rows: int = 20_000) -> DataFrame:
     """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, text)."""
     spark = docs.sparkSession
-    again = gram_counts(docs).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
+    # set down, so that the join below reads both sides through exchanges of its own and a very common gram can be split
+    again = materialize(gram_counts(docs).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "grams")
+    drop_unused(spark)
     seen = materialize(occurrences(docs).join(again, "gram", "left_semi"), "anchors")
     drop_unused(spark)
     kinds = seen.groupBy("gram", "around").agg(F.min(F.struct("doc_id", "place")).alias("first"))
