@@ -326,7 +326,7 @@ def hashed_spans(surrounded: DataFrame) -> DataFrame:
     return again.select("doc_id", F.array(F.col("start"), F.col("start") + WINDOW).alias("span"))
 
 
-def repeats(docs: DataFrame, hot_surroundings: int = 2000, block_rows: int = 20_000) -> DataFrame:
+def repeats(docs: DataFrame, hot_surroundings: int = 20_000, block_rows: int = 20_000) -> DataFrame:
     """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, text)."""
     spark = docs.sparkSession
     # set down, so that the join below reads both sides through exchanges of its own and a very common gram can be split
