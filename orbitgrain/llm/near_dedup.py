@@ -7,8 +7,10 @@ document frequency. Document frequencies are counted over all documents in
 
 No large bucket is expanded into pairs: all its texts are compared with one
 leader (the least id), then with a few drawn from those unlike it, and so on
-for ``rounds`` rounds; what is left in small buckets is then compared with the
-whole bucket. Links are verified by weighted Jaccard similarity and joined into
+for ``rounds`` rounds. What is left in small buckets is then compared with the
+whole bucket; in large ones, texts that no links join so far are compared where
+they share one of their rarest shingles and could still be alike, an exact
+filter. Links are verified by weighted Jaccard similarity and joined into
 classes by repeated minimum labels. Equal texts count once throughout.
 """
 
@@ -28,6 +30,8 @@ WIDTH, BANDS, ROWS = 5, 10, 4
 BUCKETS, BLOCKS = 1 << 20, 64
 #: Share of a shingle's weight that does not depend on its document frequency.
 FLOOR = 0.8
+#: Room for rounding where pairs are ruled out by weight.
+SLACK = 1e-4
 STEP, PRIME = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -211,6 +215,78 @@ def verify(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Dat
     return map_texts(both.select("leader", "node", "leader_text", "node_text"), make, "leader long, node long")
 
 
+def prefix(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Rarest shingles of a bag, the weight from each of them on, and the whole weight.
+
+    What follows them weighs less than ``threshold`` of the bag, so two bags
+    that reach it share one of these shingles; from the first they share on,
+    both weigh as much at least as they have in common.
+    """
+    order = np.lexsort((keys, -weights[(keys & np.uint64(BUCKETS - 1)).astype(np.int64)]))
+    rest = np.cumsum(weigh(keys, counts, weights)[order].astype(np.float64)[::-1])[::-1]
+    n = int(np.searchsorted(-rest, -threshold * rest[0] * (1 - SLACK), side="right"))
+    return keys[order[:n]], rest[:n], float(rest[0])
+
+
+def prefixes(texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """(id, total, rare) of each of ``texts`` (id, text) with words; rare: (shingle, rest), see ``prefix``."""
+
+    def make():
+        own = weights.value
+
+        def step(batch):
+            texts, ids = texts_of(batch), batch.column("id").to_pylist()
+            out, totals, sizes, shingle, rests = [], [], [], [], []
+            for part in parts(texts):
+                keys, counts, per = shingles([texts[i] for i in part])
+                ends = np.cumsum(per)
+                for i, end, size in zip(part.tolist(), ends.tolist(), per.tolist(), strict=True):
+                    if size:
+                        k, rest, total = prefix(keys[end - size : end], counts[end - size : end], own, threshold)
+                        out.append(ids[i])
+                        totals.append(total)
+                        sizes.append(len(k))
+                        shingle.append(k.view(np.int64))
+                        rests.append(rest)
+            if not out:
+                return None
+            rare = pa.StructArray.from_arrays([pa.array(np.concatenate(shingle)), pa.array(np.concatenate(rests))], ["shingle", "rest"])
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), rare)
+            return pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(totals, pa.float64()), lists], ["id", "total", "rare"])
+
+        return step
+
+    return map_texts(texts.select("id", "text"), make, "id long, total double, rare array<struct<shingle: long, rest: double>>")
+
+
+def apart(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, id, component) of the buckets whose texts ``links`` (leader, node) do not all join."""
+    classes = components(links.select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    labelled = members.join(classes.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    labelled = materialize(labelled, "labelled")
+    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
+    return labelled.join(mixed, "bucket", "left_semi")
+
+
+def sifted(split: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """(leader, node): pairs of ``split`` (bucket, id, component) of one bucket and two components, but those provably below ``threshold``.
+
+    Texts meet by bucket and rare shingle. Components meet first, so that a
+    large one is never paired within itself.
+    """
+    rare = prefixes(texts.join(split.select("id").distinct(), "id", "left_semi"), weights, threshold)
+    rows = split.join(rare, "id").select("bucket", "id", "component", "total", F.explode("rare").alias("r"))
+    rows = materialize(rows.select(F.xxhash64("bucket", "r.shingle").alias("key"), "id", "component", "total", "r.rest"), "rare")
+    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
+    rows = materialize(rows.join(mixed, "key", "left_semi"), "mixed")
+    kinds = rows.select("key", "component").distinct()
+    meet = kinds.withColumnRenamed("component", "c1").join(kinds.withColumnRenamed("component", "c2"), "key").filter("c1 < c2")
+    left, right = (rows.select("key", F.col("component").alias(f"c{k}"), F.col("id").alias(f"id{k}"), F.col("total").alias(f"total{k}"), F.col("rest").alias(f"rest{k}")) for k in (1, 2))
+    met = meet.join(left, ["key", "c1"]).join(right, ["key", "c2"])
+    met = met.filter(F.least("rest1", "rest2") >= (F.col("total1") + F.col("total2")) * (threshold / (1 + threshold) * (1 - SLACK)))
+    return met.select(F.least("id1", "id2").alias("leader"), F.greatest("id1", "id2").alias("node")).distinct()
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b): the least id it is connected with.
 
@@ -237,12 +313,27 @@ def _drawn(open_: DataFrame, turn: int, n: int = 4) -> DataFrame:
     return open_.groupBy("bucket").agg(F.array_distinct(F.array(*least)).alias("l")).select("bucket", F.explode("l").alias("leader"))
 
 
+def _met(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """(leader, node): the leaders (bucket, leader) with all others of their bucket, the lesser id first."""
+    met = members.join(leaders, "bucket").filter("id <> leader")
+    return met.select(F.least("id", "leader").alias("leader"), F.greatest("id", "leader").alias("node")).distinct()
+
+
+def _settle(spark: SparkSession, pairs: DataFrame, tried: DataFrame | None, links: list[DataFrame], texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Adds the links among ``pairs`` not ``tried`` to ``links``; returns all that are tried by now."""
+    if tried is not None:
+        pairs = pairs.join(tried, ["leader", "node"], "left_anti")
+    pairs = materialize(pairs, "pairs")
+    links.append(materialize(verify(pairs, texts, weights, threshold), "verified"))
+    drop_unused(spark)
+    return pairs if tried is None else tried.unionByName(pairs)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, whole: int = 32) -> DataFrame:
     """(doc_id, class_id, keep) of each row of ``docs`` (doc_id, text).
 
-    In buckets of up to ``whole`` texts every candidate pair is settled. In
-    larger ones a link is found if one of the two led one of their buckets; the
-    README gives the measured share of links lost by that.
+    In buckets of over ``whole`` texts every candidate pair is in one class
+    already, compared, or provably less alike than ``threshold``.
 
     ``class_id`` is the least doc_id of the class, ``keep`` marks that
     document (all its rows if repeated). Null and empty texts are equal texts,
@@ -269,24 +360,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, wh
 
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     open_, links, tried = members, [], None
-    for turn in range(rounds + 1):
-        if turn == 0:
-            leaders = open_.groupBy("bucket").agg(F.min("id").alias("leader"))
-        elif turn < rounds:
-            leaders = _drawn(open_, turn)
-        else:  # what no leader took in, against its bucket
-            leaders = open_.join(sizes.filter(F.col("n") <= whole).select("bucket"), "bucket", "left_semi").select("bucket", F.col("id").alias("leader"))
-        met = members.join(leaders, "bucket").filter("id <> leader")
-        pairs = met.select(F.least("id", "leader").alias("leader"), F.greatest("id", "leader").alias("node")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["leader", "node"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        found = materialize(verify(pairs, texts, weights, threshold), "verified")
-        links.append(found)
-        drop_unused(spark)
-        if turn == rounds:
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
+    for turn in range(rounds):
+        leaders = open_.groupBy("bucket").agg(F.min("id").alias("leader")) if turn == 0 else _drawn(open_, turn)
+        tried = _settle(spark, _met(members, leaders), tried, links, texts, weights, threshold)
         linked = reduce(DataFrame.unionByName, links)
         either = linked.select("leader", F.col("node").alias("id")).union(linked.select(F.col("node").alias("leader"), F.col("leader").alias("id")))
         # a text stays open in a bucket unless it led there or is linked with one that did
@@ -295,6 +371,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, wh
         open_ = materialize(open_.join(led, ["bucket", "id"], "left_anti").join(taken, ["bucket", "id"], "left_anti"), "open")
         if open_.isEmpty():
             break
+    # what no leader took in, against its bucket
+    small, large = sizes.filter(F.col("n") <= whole).select("bucket"), sizes.filter(F.col("n") > whole).select("bucket")
+    leaders = open_.join(small, "bucket", "left_semi").select("bucket", F.col("id").alias("leader"))
+    tried = _settle(spark, _met(members, leaders), tried, links, texts, weights, threshold)
+    split = materialize(apart(members.join(large, "bucket", "left_semi"), reduce(DataFrame.unionByName, links)), "split")
+    if not split.isEmpty():
+        _settle(spark, sifted(split, texts, weights, threshold), tried, links, texts, weights, threshold)
     classes = components(reduce(DataFrame.unionByName, links).select(F.col("leader").alias("a"), F.col("node").alias("b")))
     of_text = unique.select("text_key", "id").join(classes.select(F.col("node").alias("id"), "component"), "id", "left").select("text_key", F.coalesce("component", "id").alias("class_id"))
     out = rows.select("doc_id", "text_key").join(of_text, "text_key")

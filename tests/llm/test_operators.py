@@ -475,6 +475,30 @@ def test_op9_edges(spark, edges, none):
     assert {r.class_id for r in got} == {0}
 
 
+def lost_links(texts, got, docs):
+    """Candidate pairs of at least 0.8 whose texts ended in different classes, and all of them, by brute force."""
+    w = near_dedup.frequency_weights(*near_dedup.document_frequencies(docs))
+    sampler, bags, buckets = near_dedup.WeightedSampler(), {}, {}
+    for i, t in texts.items():
+        keys, counts, per = near_dedup.shingles([t])
+        bags[i] = (keys, near_dedup.weigh(keys, counts, w))
+        for band, key in enumerate(sampler.bands(*bags[i], per)[0].tolist()):
+            buckets.setdefault((band, key), []).append(i)
+    pairs = {(a, b) for own in buckets.values() for k, a in enumerate(own) for b in own[k + 1 :]}
+    alike = [(a, b) for a, b in pairs if near_dedup.weighted_jaccard(bags[a], bags[b]) >= 0.8]
+    return [(a, b) for a, b in alike if got[a] != got[b]], alike, max(map(len, buckets.values()))
+
+
+def test_op9_template_family(spark):
+    # pages of one template, which meet in large buckets, are alike in pairs only
+    template = [f"t{i}" for i in range(180)]
+    texts = {i: " ".join([*template, *(f"p{i // 2}.{k}" for k in range(12)), *(f"o{i}.{k}" for k in range(16))]) for i in range(400)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    lost, alike, most = lost_links(texts, got, docs)
+    assert most > 32 and len(alike) > 150 and not lost
+
+
 def test_op9_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (103, 102), (102, 101)]
     got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()}
