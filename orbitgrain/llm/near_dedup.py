@@ -287,24 +287,28 @@ def sifted(split: DataFrame, texts: DataFrame, weights, threshold: float) -> Dat
     return met.select(F.least("id1", "id2").alias("leader"), F.greatest("id1", "id2").alias("node")).distinct()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links`` (a, b): the least id it is connected with.
 
-    Labels move along links and are then looked up in themselves, so a path
-    halves each round; it ends when no label moves.
+    Each round a node's label becomes the least among its label's label and
+    its neighbours' labels' labels, and the node that is its label takes the
+    latter too, so that whole regions move at once. Labels only fall; it ends
+    when none moves, and then neighbours have equal labels.
     """
     both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
     both = materialize(both, "links")
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels")
-    for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
+    while True:
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        moved = labels.join(near, labels.node == near.a).drop("a").join(jump, "component", "left")
-        new = materialize(moved.select("node", F.least("component", "near", "far").alias("component"), (F.least("near", F.coalesce("far", "near")) < F.col("component")).alias("moved")), "labels")
+        ahead = materialize(labels.join(jump, "component").select("node", "component", "far"), "ahead")
+        near = both.join(ahead.select(F.col("node").alias("b"), "far"), "b").groupBy("a").agg(F.min("far").alias("near"))
+        hook = ahead.join(near, ahead.node == near.a).select("node", "component", F.least("far", "near").alias("far"))
+        moves = hook.select("node", "far").union(hook.groupBy("component").agg(F.min("far").alias("far")))
+        least = moves.groupBy("node").agg(F.min("far").alias("far"))
+        new = materialize(labels.join(least, "node").select("node", F.least("component", "far").alias("component"), (F.col("far") < F.col("component")).alias("moved")), "labels")
         labels = new.select("node", "component")
         if new.filter("moved").isEmpty():
-            break
-    return labels
+            return labels
 
 
 def _drawn(open_: DataFrame, turn: int, n: int = 4) -> DataFrame:

@@ -505,6 +505,14 @@ def test_op9_components(spark):
     assert all(got[i] == 1 for i in range(1, 41)) and all(got[i] == 100 for i in range(100, 104))
 
 
+def test_op9_components_of_long_paths(spark):
+    path = [0, *range(150, 0, -1)]
+    other = [1000 + (i * 389) % 997 for i in range(300)]
+    links = [*zip(path, path[1:], strict=False), *zip(other, other[1:], strict=False)]
+    got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in path) and all(got[i] == min(other) for i in other)
+
+
 # 10 -----------------------------------------------------------------------
 
 
