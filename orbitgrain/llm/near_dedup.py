@@ -7,10 +7,9 @@ document frequency. Document frequencies are counted over all documents in
 
 No large bucket is expanded into pairs: all its texts are compared with one
 leader (the least id), then with a few drawn from those unlike it, and so on
-for ``rounds`` rounds. What is left in small buckets is then compared with the
-whole bucket; in large ones, texts that no links join so far are compared where
-they share one of their rarest shingles and could still be alike, an exact
-filter. Links are verified by weighted Jaccard similarity and joined into
+for ``rounds`` rounds. Texts of a bucket that no links join so far are then
+compared: in small buckets all, in large ones where they share one of their
+rarest shingles and could still be alike, an exact filter. Links are verified by weighted Jaccard similarity and joined into
 classes by repeated minimum labels. Equal texts count once throughout.
 """
 
@@ -336,8 +335,8 @@ def _settle(spark: SparkSession, pairs: DataFrame, tried: DataFrame | None, link
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, whole: int = 32) -> DataFrame:
     """(doc_id, class_id, keep) of each row of ``docs`` (doc_id, text).
 
-    In buckets of over ``whole`` texts every candidate pair is in one class
-    already, compared, or provably less alike than ``threshold``.
+    Every candidate pair is in one class already, compared, or (in buckets of
+    over ``whole`` texts only) provably less alike than ``threshold``.
 
     ``class_id`` is the least doc_id of the class, ``keep`` marks that
     document (all its rows if repeated). Null and empty texts are equal texts,
@@ -375,13 +374,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, wh
         open_ = materialize(open_.join(led, ["bucket", "id"], "left_anti").join(taken, ["bucket", "id"], "left_anti"), "open")
         if open_.isEmpty():
             break
-    # what no leader took in, against its bucket
-    small, large = sizes.filter(F.col("n") <= whole).select("bucket"), sizes.filter(F.col("n") > whole).select("bucket")
-    leaders = open_.join(small, "bucket", "left_semi").select("bucket", F.col("id").alias("leader"))
-    tried = _settle(spark, _met(members, leaders), tried, links, texts, weights, threshold)
-    split = materialize(apart(members.join(large, "bucket", "left_semi"), reduce(DataFrame.unionByName, links)), "split")
-    if not split.isEmpty():
-        _settle(spark, sifted(split, texts, weights, threshold), tried, links, texts, weights, threshold)
+    # a text taken by one leader may still be like one taken by another: all that links do not join so far is compared
+    split = materialize(apart(members, reduce(DataFrame.unionByName, links)), "split")
+    small, large = (split.join(sizes.filter(F.col("n") <= whole if few else F.col("n") > whole).select("bucket"), "bucket", "left_semi") for few in (True, False))
+    other = small.select("bucket", F.col("id").alias("leader"), F.col("component").alias("other"))
+    across = small.join(other, "bucket").filter("leader < id and component <> other").select("leader", F.col("id").alias("node")).distinct()
+    tried = _settle(spark, across, tried, links, texts, weights, threshold)
+    large = materialize(large, "large")
+    if not large.isEmpty():
+        _settle(spark, sifted(large, texts, weights, threshold), tried, links, texts, weights, threshold)
     classes = components(reduce(DataFrame.unionByName, links).select(F.col("leader").alias("a"), F.col("node").alias("b")))
     of_text = unique.select("text_key", "id").join(classes.select(F.col("node").alias("id"), "component"), "id", "left").select("text_key", F.coalesce("component", "id").alias("class_id"))
     out = rows.select("doc_id", "text_key").join(of_text, "text_key")

@@ -499,6 +499,15 @@ def test_op9_template_family(spark):
     assert most > 32 and len(alike) > 150 and not lost
 
 
+def test_op9_texts_of_two_leaders_are_compared(spark):
+    # windows that slide along some texts: each is like its next few only, and taken by different leaders in small buckets
+    texts = {(c * 30 + i) * 7919 % 1009: " ".join(f"w{c}.{k}" for k in range(13 * i, 13 * i + 130)) for c in range(12) for i in range(30)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(docs).collect()}
+    lost, alike, _ = lost_links(texts, got, docs)
+    assert len(alike) > 100 and not lost
+
+
 def test_op9_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (103, 102), (102, 101)]
     got = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(links, "a long, b long")).collect()}
