@@ -13,10 +13,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orbitgrain.llm.common import key_crc, map_texts, table, texts_of
+from orbitgrain.llm.common import key_crc, map_texts, materialize, table, texts_of
 
 BLOCK = 2048
 #: What is parsed: letters in lower case, anything else as one space.
@@ -144,23 +144,23 @@ class CrossParser:
 def train(docs: DataFrame, letters: int = 24_000, rows: int = 48) -> CrossParser:
     """Fit on labelled rows: (text, lang).
 
-    A bounded sample is taken: about ``rows`` documents of each language by
-    hash of their text, cut into sentences' worth of 400 letters, from which
+    A bounded sample is taken: the ``rows`` different texts of each language
+    with the least hash, or all if there are fewer, cut into sentences' worth of 400 letters, from which
     ``letters`` letters build the automaton and a quarter as many again scale it.
     Rows without text or lang are left out.
     """
     rows_of = docs.filter("lang is not null and text is not null and length(text) > 0")
-    counts = {r.lang: r.n for r in rows_of.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
+    # copies count once; the least hashes of slices first, so that no task ranks a whole language
+    chosen = rows_of.select("lang", F.xxhash64("text").alias("h")).distinct()
+    for slices in (64, 1):
+        least = Window.partitionBy("lang", F.pmod("h", F.lit(slices))).orderBy(F.pmod("h", F.lit(1 << 30)), "h")
+        chosen = chosen.withColumn("r", F.row_number().over(least)).filter(F.col("r") <= rows).drop("r")
+    chosen = materialize(chosen, "chosen")
+    if chosen.isEmpty():
         return CrossParser({}, {})
-    share = F.create_map(*(F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, rows / n))))
-    # by hash; a language with fewer rows than asked for gives them all
-    luck = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows_of.select("lang", "text").filter(luck < share[F.col("lang")]).dropDuplicates()
+    picked = rows_of.select("lang", "text", F.xxhash64("text").alias("h")).join(F.broadcast(chosen), ["lang", "h"], "left_semi").select("lang", "text").dropDuplicates()
     pieces = picked.select("lang", F.explode(F.regexp_extract_all("text", F.lit("(?s).{1,400}"), F.lit(0))).alias("piece"))
     each = -(-letters * 5 // 4 // 400) + 1
-    from pyspark.sql import Window
-
     ranked = pieces.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("piece"), "piece"))).filter(F.col("r") <= each)
     texts: dict[str, list[str]] = {}
     for r in sorted(ranked.collect(), key=lambda r: (r.lang, r.r)):

@@ -539,6 +539,17 @@ def test_op10_held_out(spark, sf, edges, none):
     assert language_id.predict(none, parser).count() == 0
 
 
+def test_op10_copies_do_not_crowd_out_a_language(spark):
+    few = [f"wir sehen den hund und die katze im garten nummer {k} zwei drei" for k in "abcdefghij"]
+    copies = [("der gleiche satz steht hier immer wieder und wieder", "de")] * 5000
+    docs = spark.createDataFrame([*copies, *((t, "de") for t in few), *((f"the cat and the dog are in garden {k} of many", "en") for k in "abc")], "text string, lang string")
+    parser = language_id.train(docs)
+    assert parser.langs == ["de", "en"]
+    # every different text was learned: each is one phrase, but for those held back to scale
+    texts = [language_id.normal(t) for t in few]
+    assert sum(parser.count([t])[0, 0] == 1 for t in texts) >= 7
+
+
 def test_op10_lock_step_equals_plain_parse():
     texts = {"a": "the cat sat on the mat and the rat", "b": "le chat est sur le tapis avec le rat"}
     parser = language_id.CrossParser(texts, {})
