@@ -44,7 +44,7 @@ def line_features(line: str, words: list[bytes], seen: bool) -> tuple[bool, ...]
         n < 4,
         4 <= n < 9,
         last in ".?:;\"')",
-        sum(map(str.isdigit, line)) * 5 > chars if chars < 400 else False,
+        sum(map(str.isdigit, line)) * 5 > chars,
         chars > 14 * n,
     )
 

@@ -279,6 +279,14 @@ def test_op6_base(spark, sf, documents, edges, none):
     assert kept.columns == edges.columns and kept.count() <= edges.count()
 
 
+def test_op6_digits_of_long_lines():
+    digits = quality_rules.FEATURES.index("digits")
+    for line in ("1234 5678 " * 10, "1234 5678 " * 39 + "123456789", "1234 5678 " * 40, "1234 5678 " * 5000):
+        assert quality_rules.line_features(line, line.encode().split(), False)[digits]
+    line = "words and 1 more " * 50
+    assert not quality_rules.line_features(line, line.encode().split(), False)[digits]
+
+
 def test_op6_viterbi_against_all_labellings():
     import itertools
 
