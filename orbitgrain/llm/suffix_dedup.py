@@ -74,10 +74,11 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     before, after = np.minimum(place, REACH), np.minimum(left[at] - GRAM, REACH)
     around = np.zeros(len(at), np.uint64)
     whole = np.flatnonzero((before == REACH) & (after == REACH))
+    mixed = np.zeros(len(whole), np.uint64)
     with np.errstate(over="ignore"):
-        for i in range((WINDOW + REACH) // 8):
-            around[whole] += words[at[whole] - REACH + 8 * i] * FACTORS[i]
-    around = mix64(around)
+        for i in range((WINDOW + REACH) // 8):  # mixed at each word, so that differences of two words cannot cancel out
+            mixed = mix64(mixed + words[at[whole] - REACH + 8 * i] * FACTORS[i])
+    around[whole] = mixed
     raw = buf.data
     for j in np.flatnonzero((before < REACH) | (after < REACH)).tolist():
         a, b, c = int(at[j]), int(before[j]), int(after[j])

@@ -360,6 +360,30 @@ def test_op7_edges(edges, none):
     assert cut.filter("doc_id = 6").first().text == "" and cut.filter("doc_id = 6").first().n_chars == 0
 
 
+def test_op7_surroundings_of_two_different_digits_differ():
+    rng = np.random.default_rng(7)
+    text = bytearray(rng.integers(48, 58, 600, np.uint8).tobytes())
+    _, places, keys, _ = suffix_dedup.anchors([bytes(text)])
+    f, reach, seen = suffix_dedup.FACTORS.astype(object), suffix_dedup.REACH, 0
+    for q, key in zip(places.tolist(), keys.tolist(), strict=True):
+        if not reach <= q <= 600 - reach - suffix_dedup.GRAM:
+            continue
+        for i in range(21):
+            for j in range(i + 1, 21):
+                for d in range(-9, 10):
+                    for e in range(-9, 10):
+                        a, b = q - reach + 8 * i + 7, q - reach + 8 * j + 7
+                        if d and e and (d * f[i] + e * f[j]) % 256 == 0 and 48 <= text[a] + d < 58 and 48 <= text[b] + e < 58:
+                            other = bytearray(text)
+                            other[a] += d
+                            other[b] += e
+                            found = [{(p, k): s for p, k, s in zip(*(x.tolist() for x in suffix_dedup.anchors([bytes(t)])[1:]), strict=True)} for t in (text, other)]
+                            if (q, key) in found[1]:
+                                seen += 1
+                                assert found[0][q, key] != found[1][q, key]
+    assert seen
+
+
 def test_op7_deep_shallow_order():
     import random
 
