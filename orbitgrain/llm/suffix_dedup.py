@@ -3,19 +3,24 @@
 Not every suffix is sorted. Every 100-byte window has a least 32-byte gram by
 hash; these grams are the anchors, and two equal windows have equal anchors at
 equal places. Anchors that occur once in the corpus can be forgotten. Of those
-that occur again with the same surroundings (68 bytes each way), all but the
-first are repeats over their whole reach. Where an anchor has several
-surroundings, the suffixes that start at it, and the reversed prefixes that end
-there, are ordered by deep-shallow sorting: multikey quicksort to a shallow
-depth, then a blind trie for each group with a longer common prefix. From the
-order and its common prefixes follows which windows start earlier elsewhere.
-Anchors with very many surroundings are settled by aggregating window hashes
-instead, which needs no group in one task.
+that occur again with the same surroundings (68 bytes each way, told apart by
+128 bits of hash), all but the first are repeats over their whole reach. Where
+an anchor has several surroundings, the suffixes that start at it, and the
+reversed prefixes that end there, are ordered by deep-shallow sorting: multikey
+quicksort to a shallow depth, then a blind trie for each group with a longer
+common prefix. From the order and its common prefixes follows which windows
+start earlier elsewhere.
+
+A group of suffixes too large for one task is parted like in the quicksort, by
+more of its bytes: the windows' offsets are halved, each half having more bytes
+in common that equal windows must share, and suffixes meet again by these. A
+group of one offset is one of equal windows, and needs no sorting.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,8 +34,8 @@ from orbitgrain.llm.common import drop_unused, map_texts, materialize, mix64, ta
 WINDOW, GRAM = 100, 32
 REACH = WINDOW - GRAM
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
-#: Odd numbers by which the words of a gram and of its surroundings are multiplied.
-FACTORS = mix64(np.arange(1, 33, dtype=np.uint64)) | np.uint64(1)
+#: Odd numbers by which the mixed words of a gram and of its surroundings are multiplied, for each half of a hash.
+FACTORS, OTHERS = (mix64(np.arange(k, k + 32, dtype=np.uint64)) | np.uint64(1) for k in (1, 101))
 
 
 def _words(buf: np.ndarray) -> np.ndarray:
@@ -47,23 +52,28 @@ def _sliding(x: np.ndarray, width: int, of) -> np.ndarray:
     return of(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text number, place, gram hash, surroundings hash) of each anchor of some texts."""
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place, gram hash, both halves of the surroundings' hash) of each anchor of some texts.
+
+    Every word is mixed before words are added up, so differences of several
+    words cannot cancel out but by chance.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     buf = np.frombuffer(b"".join(texts) + bytes(8), np.uint8)
     n = len(buf) - 8
     empty = np.zeros(0, np.int64)
     if n < WINDOW:
-        return empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, *(empty.astype(np.uint64) for _ in range(3))
     ends = np.cumsum(sizes)
     owner = np.repeat(np.arange(len(texts)), sizes)
     left = ends[owner] - np.arange(n)
-    words = _words(buf)
+    words = mix64(_words(buf))
     with np.errstate(over="ignore"):
         h = words[: n - GRAM + 1] * FACTORS[0]
         for i in range(1, GRAM // 8):
             h += words[8 * i : 8 * i + n - GRAM + 1] * FACTORS[i]
-    h = np.minimum(mix64(h), NONE - np.uint64(1))
+    h ^= h >> np.uint64(29)  # the least is sought, and low bits are the better mixed
+    h = np.minimum(h * FACTORS[31], NONE - np.uint64(1))
     h[left[: len(h)] < GRAM] = NONE
     least = _sliding(h, REACH + 1, np.minimum)
     least[left[: len(least)] < WINDOW] = 0
@@ -72,18 +82,21 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     who, key = owner[at], h[at]
     place = at - (ends - sizes)[who]
     before, after = np.minimum(place, REACH), np.minimum(left[at] - GRAM, REACH)
-    around = np.zeros(len(at), np.uint64)
+    around, other = np.zeros((2, len(at)), np.uint64)
     whole = np.flatnonzero((before == REACH) & (after == REACH))
-    mixed = np.zeros(len(whole), np.uint64)
+    one, two = np.zeros((2, len(whole)), np.uint64)
     with np.errstate(over="ignore"):
-        for i in range((WINDOW + REACH) // 8):  # mixed at each word, so that differences of two words cannot cancel out
-            mixed = mix64(mixed + words[at[whole] - REACH + 8 * i] * FACTORS[i])
-    around[whole] = mixed
+        for i in range((WINDOW + REACH) // 8):
+            w = words[at[whole] - REACH + 8 * i]
+            one += w * FACTORS[i]
+            two += w * OTHERS[i]
+    around[whole], other[whole] = one, two
     raw = buf.data
     for j in np.flatnonzero((before < REACH) | (after < REACH)).tolist():
         a, b, c = int(at[j]), int(before[j]), int(after[j])
-        around[j] = xxhash.xxh64_intdigest(bytes(raw[a - b : a + GRAM + c]), seed=b * 256 + c)
-    return who, place, key, around
+        digest = xxhash.xxh3_128_intdigest(bytes(raw[a - b : a + GRAM + c]), seed=b * 256 + c)
+        around[j], other[j] = digest >> 64, digest & (2**64 - 1)
+    return who, place, key, around, other
 
 
 def byte_batches(batch: pa.RecordBatch, most: int = 2_000_000):
@@ -114,16 +127,17 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(gram, around, doc_id, place) of each anchor."""
+    """(gram, around, other, doc_id, place) of each anchor."""
 
     def run(batches):
         for batch in batches:
             ids = np.asarray(batch.column("doc_id").to_pylist(), np.int64)
             for rows, texts in byte_batches(batch):
-                who, place, key, around = anchors(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(around.view(np.int64)), pa.array(ids[rows][who]), pa.array(place.astype(np.int32))], ["gram", "around", "doc_id", "place"])
+                who, place, *hashes = anchors(texts)
+                arrays = [*(pa.array(h.view(np.int64)) for h in hashes), pa.array(ids[rows][who]), pa.array(place.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, ["gram", "around", "other", "doc_id", "place"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "gram long, around long, doc_id long, place int")
+    return docs.select("doc_id", "text").mapInArrow(run, "gram long, around long, other long, doc_id long, place int")
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -219,17 +233,17 @@ def deep_shallow(strings: list[bytes], shallow: int = 8) -> tuple[list[int], lis
     return order, lcps
 
 
-def repeated_offsets(gram: np.ndarray, before: list[bytes], after: list[bytes]) -> np.ndarray:
-    """Which windows of some anchors repeat one of an earlier anchor: offset x anchor.
+def repeated_offsets(before: list[bytes], after: list[bytes], first: int = 0, last: int = REACH) -> np.ndarray:
+    """Which windows of some anchors repeat one of an earlier anchor: offset x anchor, for the offsets ``first`` to ``last``.
 
     Anchors come in corpus order; ``before`` is reversed and ends at the
     anchor, ``after`` starts with the gram. The window at offset o starts o
     bytes before its anchor.
     """
-    n = len(gram)
-    groups: dict[tuple, list[int]] = {}
+    n = len(before)
+    groups: dict[bytes, list[int]] = {}
     for i in range(n):
-        groups.setdefault((gram[i], after[i][:GRAM]), []).append(i)
+        groups.setdefault(shared_bytes(before[i], after[i], first, last), []).append(i)
     ranks = []
     for strings, skip in ((before, 0), (after, GRAM)):
         order, lcp = np.empty(n, np.int64), np.empty(n, np.int64)
@@ -248,102 +262,145 @@ def repeated_offsets(gram: np.ndarray, before: list[bytes], after: list[bytes])
         out[order] = np.cumsum(lcp < depth) if depth else np.cumsum(lcp < 0)
         return out
 
-    found = np.zeros((REACH + 1, n), bool)
-    for o in range(REACH + 1):
+    found = np.zeros((last - first + 1, n), bool)
+    for o in range(first, last + 1):
         there = np.flatnonzero((size_before >= o) & (size_after >= REACH - o))
         key = classes(0, o)[there] * (n + 1) + classes(1, REACH - o)[there]
         firsts = np.unique(key, return_index=True)[1]
-        found[o, there] = True
-        found[o, there[firsts]] = False
+        found[o - first, there] = True
+        found[o - first, there[firsts]] = False
     return found
 
 
+def shared_bytes(before: bytes, after: bytes, first: int, last: int) -> bytes:
+    """What any two anchors have in common if they share a window at an offset from ``first`` to ``last``."""
+    return before[:first] + after[: GRAM + REACH - last]
+
+
 def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edges = np.flatnonzero(np.diff(np.r_[0, flags.astype(np.int8), 0]))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
 def with_surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """Adds ``before`` (reversed) and ``after`` to wanted (gram, hot, doc_id, place)."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "hot", "place")).alias("spots"))  # no more than a text's anchors
+    """Adds ``before`` (reversed) and ``after`` to wanted (gram, doc_id, place), as groups of the offsets 0 to REACH."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place")).alias("spots"))  # no more than a text's anchors
+    schema = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
 
     def make():
         def step(batch):
-            out = {k: [] for k in ("gram", "hot", "doc_id", "place", "before", "after")}
+            out = {k: [] for k in schema.names}
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for doc_id, text, spots in zip(batch.column("doc_id").to_pylist(), texts, batch.column("spots").to_pylist(), strict=True):
                 for s in spots:
                     q = s["place"]
-                    row = (s["gram"], s["hot"], doc_id, q, text[max(0, q - REACH) : q][::-1], text[q : q + WINDOW])
+                    row = (s["gram"], doc_id, q, text[max(0, q - REACH) : q][::-1], text[q : q + WINDOW])
                     for k, v in zip(out, row, strict=True):
                         out[k].append(v)
-            return pa.RecordBatch.from_pydict(out, schema=pa.schema([("gram", pa.int64()), ("hot", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int32()), ("before", pa.binary()), ("after", pa.binary())]))
+            return pa.RecordBatch.from_pydict(out, schema=schema)
 
         return step
 
     joined = docs.select("doc_id", "text").join(lists, "doc_id")
-    return map_texts(joined, make, "gram long, hot boolean, doc_id long, place int, before binary, after binary")
-
+    whole = map_texts(joined, make, "gram long, doc_id long, place int, before binary, after binary")
+    return whole.select(F.col("gram").cast("string").cast("binary").alias("meet"), F.lit(0).alias("first"), F.lit(REACH).alias("last"), "doc_id", "place", "before", "after")
 
-def sorted_spans(surrounded: DataFrame, blocks: int) -> DataFrame:
-    """(doc_id, span) of the windows found by sorting; anchors are dealt to blocks by gram."""
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "place"])
-        found = repeated_offsets(pdf["gram"].to_numpy(), pdf["before"].tolist(), pdf["after"].tolist())
-        ids, spans = [], []
-        for i, (doc_id, q) in enumerate(zip(pdf["doc_id"].tolist(), pdf["place"].tolist(), strict=True)):
-            if found[:, i].any():
-                for a, b in runs(found[:, i]):
-                    ids.append(doc_id)
-                    spans.append([q - b + 1, q - a + WINDOW])
-        return pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "span": pd.Series(spans, dtype=object)})
+GROUPS = "meet binary, first int, last int, doc_id long, place int, before binary, after binary"
 
-    dealt = surrounded.filter("not hot").withColumn("block", F.pmod(F.xxhash64("gram"), F.lit(blocks)))
-    return dealt.groupBy("block").applyInPandas(block, "doc_id long, span array<int>")
 
+def parted(groups: DataFrame) -> DataFrame:
+    """Each row of ``groups`` for either half of its offsets, to meet by what a window of that half needs in common.
 
-def hashed_spans(surrounded: DataFrame) -> DataFrame:
-    """(doc_id, span) for anchors with very many surroundings: one row a window, first place by aggregation."""
+    Rows too near the start or end of their text for a half's windows are left
+    out of it.
+    """
 
     def make():
         def step(batch):
-            gram, ids, place, window = [], [], [], []
-            for g, d, q, b, a in zip(*(batch.column(c).to_pylist() for c in ("gram", "doc_id", "place", "before", "after")), strict=True):
-                whole = b[::-1] + a
-                for start in range(len(whole) - WINDOW + 1):
-                    if start <= len(b):
-                        gram.append(g)
-                        ids.append(d)
-                        place.append(q - len(b) + start)
-                        window.append(xxhash.xxh128_digest(whole[start : start + WINDOW]))
-            return pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(ids, pa.int64()), pa.array(place, pa.int32()), pa.array(window, pa.binary())], ["gram", "doc_id", "start", "window"])
+            take, meet, firsts, lasts = [], [], [], []
+            columns = (batch.column(c).to_pylist() for c in ("first", "last", "before", "after"))
+            for i, (first, last, before, after) in enumerate(zip(*columns, strict=True)):
+                middle = (first + last) // 2
+                for lo, hi in ((first, middle), (middle + 1, last)):
+                    if len(before) >= lo and len(after) >= GRAM + REACH - hi:
+                        take.append(i)
+                        meet.append(xxhash.xxh3_128_digest(shared_bytes(before, after, lo, hi), seed=lo * 256 + hi))
+                        firsts.append(lo)
+                        lasts.append(hi)
+            rest = batch.take(pa.array(take, pa.int32()))
+            head = [pa.array(meet, pa.binary()), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())]
+            return pa.RecordBatch.from_arrays([*head, *(rest.column(c) for c in ("doc_id", "place", "before", "after"))], ["meet", "first", "last", "doc_id", "place", "before", "after"])
 
         return step
 
-    windows = map_texts(surrounded.filter("hot").select("gram", "doc_id", "place", "before", "after"), make, "gram long, doc_id long, start int, window binary").drop("gram")
-    firsts = windows.groupBy("window").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    again = windows.join(firsts, "window").filter(F.struct("doc_id", "start") != F.col("first"))
-    return again.select("doc_id", F.array(F.col("start"), F.col("start") + WINDOW).alias("span"))
+    return map_texts(groups, make, GROUPS)
 
 
-def repeats(docs: DataFrame, hot_surroundings: int = 20_000, block_rows: int = 20_000) -> DataFrame:
-    """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, text)."""
+def sorted_spans(groups: DataFrame, blocks: int) -> DataFrame:
+    """(doc_id, span) of the windows found by sorting; groups are dealt to blocks."""
+
+    def block(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, spans = [], []
+        for (first, last), part in pdf.sort_values(["doc_id", "place"]).groupby(["first", "last"], sort=False):
+            found = repeated_offsets(part["before"].tolist(), part["after"].tolist(), int(first), int(last))
+            some = found.any(0)
+            for i, (doc_id, q) in enumerate(zip(part["doc_id"].tolist(), part["place"].tolist(), strict=True)):
+                if some[i]:
+                    for a, b in runs(found[:, i]):
+                        ids.append(doc_id)
+                        spans.append([q - (first + b) + 1, q - (first + a) + WINDOW])
+        return pd.DataFrame({"doc_id": pd.Series(ids, dtype="int64"), "span": pd.Series(spans, dtype=object)})
+
+    dealt = groups.withColumn("block", F.pmod(F.xxhash64("meet"), F.lit(blocks)))
+    return dealt.groupBy("block").applyInPandas(block, "doc_id long, span array<int>")
+
+
+def equal_spans(groups: DataFrame) -> DataFrame:
+    """(doc_id, span) in groups of one offset: all rows but the first of a group repeat its window."""
+    firsts = groups.groupBy("meet").agg(F.min(F.struct("doc_id", "place")).alias("earliest"))
+    again = groups.join(firsts, "meet").filter(F.struct("doc_id", "place") != F.col("earliest"))
+    return again.select("doc_id", F.array(F.col("place") - F.col("first"), F.col("place") - F.col("first") + WINDOW).alias("span"))
+
+
+def differing_spans(groups: DataFrame, most: int, block_rows: int = 20_000) -> DataFrame:
+    """(doc_id, span) of repeated windows among groups; those of more than ``most`` rows are parted until they are smaller or of one offset."""
+    found = []
+    while True:
+        sizes = groups.groupBy("meet").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        sized = materialize(groups.join(sizes, "meet").withColumn("large", F.col("n") > most).drop("n"), "groups")
+        n, large = sized.agg(F.count_if(~F.col("large")), F.count_if("large")).first()
+        if n:
+            found.append(sorted_spans(sized.filter("not large"), max(64, n // block_rows)))
+        if not large:
+            break
+        both = sized.filter("large").drop("large")
+        found.append(equal_spans(both.filter("first = last")))
+        groups = parted(both.filter("first < last"))
+    if not found:
+        return groups.sparkSession.createDataFrame([], "doc_id long, span array<int>")
+    return reduce(DataFrame.unionByName, found)
+
+
+def repeats(docs: DataFrame, most: int = 4000) -> DataFrame:
+    """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, text).
+
+    ``most`` bounds the rows of a group that one task sorts; larger groups are
+    parted first. It does not change the result.
+    """
     spark = docs.sparkSession
     # set down, so that the join below reads both sides through exchanges of its own and a very common gram can be split
     again = materialize(gram_counts(docs).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "grams")
     drop_unused(spark)
     seen = materialize(occurrences(docs).join(again, "gram", "left_semi"), "anchors")
     drop_unused(spark)
-    kinds = seen.groupBy("gram", "around").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    kinds = materialize(kinds, "surroundings")
-    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", (F.col("n") > hot_surroundings).alias("hot"))
-    wanted = kinds.join(several, "gram").select("gram", "hot", "first.doc_id", "first.place")
-    surrounded = materialize(with_surroundings(wanted, docs), "surrounded")
+    kinds = materialize(seen.groupBy("gram", "around", "other").agg(F.min(F.struct("doc_id", "place")).alias("first")), "surroundings")
+    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    wanted = kinds.join(several, "gram").select("gram", "first.doc_id", "first.place")
+    spans = materialize(differing_spans(with_surroundings(wanted, docs), most), "spans")
     drop_unused(spark)
-    blocks = max(64, surrounded.count() // block_rows)
-    spans = sorted_spans(surrounded, blocks).unionByName(hashed_spans(surrounded)).groupBy("doc_id").agg(F.flatten(F.collect_list("span")).alias("spans"))
-    later = seen.join(kinds, ["gram", "around"]).filter(F.struct("doc_id", "place") != F.col("first")).groupBy("doc_id").agg(F.collect_list("place").alias("whole"))
+    spans = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("span")).alias("spans"))
+    later = seen.join(kinds, ["gram", "around", "other"]).filter(F.struct("doc_id", "place") != F.col("first")).groupBy("doc_id").agg(F.collect_list("place").alias("whole"))
     out = materialize(later.join(spans, "doc_id", "full_outer"), "repeats")
     drop_unused(spark)
     return out

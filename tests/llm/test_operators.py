@@ -333,8 +333,8 @@ def test_op7_given(spark, sf, documents):
     assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op7_suffix_dedup(spark, sf).collect()} == want
 
 
-@pytest.mark.parametrize("hot", [2000, 3])
-def test_op7_overlaps(spark, hot, monkeypatch):
+@pytest.mark.parametrize("most", [2000, 3, 1])
+def test_op7_overlaps(spark, most, monkeypatch):
     import random
 
     rng = random.Random(1)
@@ -345,7 +345,7 @@ def test_op7_overlaps(spark, hot, monkeypatch):
         text = rng.choice(base)[a : a + rng.randrange(60, 250)] + "x" * rng.randrange(3) + rng.choice(base)[: rng.randrange(200)]
         rows.append((i, "z" * rng.randrange(500) if i % 37 == 0 else text))
     plain = suffix_dedup.repeats
-    monkeypatch.setattr(suffix_dedup, "repeats", lambda d: plain(d, hot_surroundings=hot, block_rows=50))
+    monkeypatch.setattr(suffix_dedup, "repeats", lambda d: plain(d, most=most))
     got = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == brute_repeats(rows)
 
@@ -360,30 +360,48 @@ def test_op7_edges(edges, none):
     assert cut.filter("doc_id = 6").first().text == "" and cut.filter("doc_id = 6").first().n_chars == 0
 
 
-def test_op7_surroundings_of_two_different_digits_differ():
+def test_op7_surroundings_of_two_different_bytes_differ():
+    """Pairs of differences that cancel out in a plain sum of words times factors."""
     rng = np.random.default_rng(7)
     text = bytearray(rng.integers(48, 58, 600, np.uint8).tobytes())
-    _, places, keys, _ = suffix_dedup.anchors([bytes(text)])
-    f, reach, seen = suffix_dedup.FACTORS.astype(object), suffix_dedup.REACH, 0
-    for q, key in zip(places.tolist(), keys.tolist(), strict=True):
-        if not reach <= q <= 600 - reach - suffix_dedup.GRAM:
-            continue
-        for i in range(21):
-            for j in range(i + 1, 21):
-                for d in range(-9, 10):
-                    for e in range(-9, 10):
-                        a, b = q - reach + 8 * i + 7, q - reach + 8 * j + 7
-                        if d and e and (d * f[i] + e * f[j]) % 256 == 0 and 48 <= text[a] + d < 58 and 48 <= text[b] + e < 58:
-                            other = bytearray(text)
-                            other[a] += d
-                            other[b] += e
-                            found = [{(p, k): s for p, k, s in zip(*(x.tolist() for x in suffix_dedup.anchors([bytes(t)])[1:]), strict=True)} for t in (text, other)]
-                            if (q, key) in found[1]:
-                                seen += 1
-                                assert found[0][q, key] != found[1][q, key]
+    _, places, keys, _, _ = suffix_dedup.anchors([bytes(text)])
+    reach, seen = suffix_dedup.REACH, 0
+    for f in (suffix_dedup.FACTORS.astype(object), suffix_dedup.OTHERS.astype(object)):
+        for q, key in zip(places.tolist(), keys.tolist(), strict=True):
+            if not reach <= q <= 600 - reach - suffix_dedup.GRAM:
+                continue
+            for i in range(21):
+                for j in range(i + 1, 21):
+                    for d in range(-9, 10):
+                        for e in range(-9, 10):
+                            a, b = q - reach + 8 * i + 7, q - reach + 8 * j + 7
+                            if d and e and (d * f[i] + e * f[j]) % 256 == 0 and 48 <= text[a] + d < 58 and 48 <= text[b] + e < 58:
+                                other = bytearray(text)
+                                other[a] += d
+                                other[b] += e
+                                found = [{(p, k): (s, t) for p, k, s, t in zip(*(x.tolist() for x in suffix_dedup.anchors([bytes(t)])[1:]), strict=True)} for t in (text, other)]
+                                if (q, key) in found[1]:
+                                    seen += 1
+                                    assert all(x != y for x, y in zip(found[0][q, key], found[1][q, key], strict=True))
     assert seen
 
 
+def test_op7_near_copies_with_two_edits(spark):
+    import random
+
+    rng, rows = random.Random(11), []
+    for g in range(60):
+        text = [rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(400)]
+        if g == 0:
+            text[24], text[128] = "B", "L"
+        rows.append((2 * g, "".join(text)))
+        for i, c in ((24, "c"), (128, "O")) if g == 0 else ((rng.randrange(50) * 8 + 7, rng.choice("xyz#")) for _ in range(2)):
+            text[i] = c
+        rows.append((2 * g + 1, "".join(text)))
+    got = suffix_dedup.repeated_bytes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: tuple(r)[1:] for r in got.collect()} == brute_repeats(rows)
+
+
 def test_op7_deep_shallow_order():
     import random
 
