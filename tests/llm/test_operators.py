@@ -39,25 +39,80 @@ def test_op1_base_and_held_out(spark, sf, documents):
         assert r.score < 0
 
 
-def test_op1_word_probabilities_add_up_to_less_than_one():
+def test_op1_spelling_adds_up_to_less_than_one():
     words = [b"ab", b"abc", b"b", b"", b"abd", b"zz"]
-    counts = np.zeros(2 * lm_scoring.SLOTS)
-    lm_scoring.fill(words, np.ones(len(words)), counts)
-    mixer = lm_scoring.Mixer()
-    mixer.train(words, np.ones(len(words)), counts)
-    model = lm_scoring.Model(counts, mixer.w, mixer.ones / mixer.all)
+    slots = lm_scoring.Slots(len(words))
+    counts = np.zeros(2 * slots.all, np.int64)
+    lm_scoring.fill(words, counts, slots)
+    speller = lm_scoring.Speller(lm_scoring.packed(counts), slots)
+    speller.train(words)
     every = [bytes([a]) for a in range(256) if a not in (9, 10, 11, 12, 13, 32)] + [b""] + words[:2] + words[4:]
-    assert 0 < (10.0 ** model.score(list(dict.fromkeys(every)))).sum() < 1
-    # shared beginnings give what each word has by itself
-    assert np.allclose(model.score(words), [model.score([w])[0] for w in words])
-
-
-def test_op1_text_experts_are_a_distribution():
-    lp = {b"a": math.log10(0.5), b"b": math.log10(0.5)}
+    assert 0 < (10.0 ** speller.spell(list(dict.fromkeys(every)), 0)).sum() < 1
+    # shared beginnings give what each word has by itself, long words what their bytes have one by one
+    assert np.allclose(speller.spell(words, 0), [speller.spell([w], 0)[0] for w in words])
+    long, short = b"ab" * 300, b"ab" * 60
+    assert np.allclose(speller.spell([long, short, long], 0), [speller.spell([w], 0)[0] for w in (long, short, long)])
+    flat = lm_scoring.PIECE
+    try:
+        lm_scoring.PIECE = 1000
+        want = speller.spell([long], 0)[0]
+    finally:
+        lm_scoring.PIECE = flat
+    assert speller.spell([long], 0)[0] == pytest.approx(want)
+
+
+def test_op1_texts_are_a_distribution():
+    """All texts of four words out of known and rare ones, the spelling of which adds up to one too."""
     import itertools
 
-    total = sum(10 ** lm_scoring.adapted(list(t), np.array([lp[w] for w in t])) for t in itertools.product(lp, repeat=4))
-    assert total == pytest.approx(1.0)
+    sample = [[b"a", b"b", b"a", b""], [b"b", b"b", b"a", b""], [b"a", b"c", b""]]
+    classes = lm_scoring.TextClasses(sample)
+    c = {b"a": 6, b"b": 3, b"c": 1, b"d": 0}
+    share = {b"a": 0.4, b"b": 0.3, b"c": 0.1, b"d": 0.2}
+    mix = {w: bytes([255 * (w != b"b" and c[w] > 0), 255 * (w == b"b"), *[0] * 6]) for w in c}
+    model = lm_scoring.TextModel(np.array([7, 3, 0, 0, 0, 0, 0, 0]), classes)
+    model.learn(lm_scoring.streams_of(sample, lambda w, _: (c.get(w, 2), 0.0, bytes(8)), np.ones(3, np.int64))[0])
+    texts = [list(t) for t in itertools.product(c, repeat=4)]
+    s, spelled, mixes = lm_scoring.streams_of(texts, lambda w, _: (c[w], math.log10(share[w]), mix[w]), np.zeros(len(texts), np.int64))
+    score, fresh = model.score(s, spelled, mixes)
+    assert (10.0**score).sum() == pytest.approx(1.0, abs=1e-5) and np.allclose(score, fresh)
+
+
+def test_op1_scores_depend_on_the_table_only(spark, sf):
+    docs, held = spark.read.parquet(f"{sf}/documents.parquet"), key_crc(F.col("doc_id")) % 7 == 2
+
+    def scores(df, **how):
+        return {r.doc_id: (r.score, r.fresh_score, r.base_score, r.n_known) for r in lm_scoring.score_texts(df, held, **how).collect()}
+
+    want = scores(docs)
+    for frequent in (50, 0):
+        got = scores(docs, frequent=frequent)
+        assert all(got[i] == pytest.approx(want[i]) for i in want)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        for n in (4, 9):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got = scores(docs.repartition(n))
+            assert all(got[i] == pytest.approx(want[i], rel=1e-6) for i in want)
+    finally:
+        for k, x in before.items():
+            spark.conf.set(k, x)
+
+
+def test_op1_held_out_texts_score_above_the_base(spark, sf):
+    got = lm_scoring.op1_lm_scoring(spark, sf.replace("0.001", "0.01")).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+
+
+def test_op1_copies_score_apart(spark):
+    import random
+
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8))) for _ in range(60)) for _ in range(60)]
+    docs = spark.createDataFrame([*enumerate(texts), *((100 + i, texts[i]) for i in range(10))], "doc_id long, text string")
+    got = {r.doc_id: r.bits_per_byte for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
+    assert max(got[i] for i in range(10)) < min(got[i] for i in range(10, 60))
 
 
 def test_op1_edges(edges, none):
@@ -66,7 +121,15 @@ def test_op1_edges(edges, none):
     assert rows[1].bits_per_byte is None and rows[9].bits_per_byte < rows[7].bits_per_byte
     assert lm_scoring.score_texts(edges, F.col("doc_id") == 5).count() == edges.count()
     assert lm_scoring.score_texts(none, F.col("doc_id") == 5).count() == 0
-    assert lm_scoring.score_texts(edges, F.lit(True)).filter("n_known > 0 or isnan(score)").count() == 0
+    assert lm_scoring.score_texts(edges, F.lit(True)).filter("n_known > 0 or isnan(score) or score > 0").count() == 0
+
+
+def test_op1_very_long_words(spark):
+    docs = spark.createDataFrame([(1, "x" * 1_000_000 + " y"), (2, "ab" * 100 + " " + " ".join("cd" * k for k in range(100))), (3, "a b")], "doc_id long, text string")
+    got = {r.doc_id: r for r in lm_scoring.score_texts(docs, F.lit(False)).collect()}
+    assert got[1].n_tokens == 3 and all(math.isfinite(r.score) and math.isfinite(r.fresh_score) for r in got.values())
+    held = {r.doc_id: r for r in lm_scoring.score_texts(docs, F.col("doc_id") == 1).collect()}
+    assert held[1].n_known == 1 and held[1].score < -1000
 
 
 # 2 ------------------------------------------------------------------------
