@@ -7,10 +7,12 @@ document frequency. Document frequencies are counted over all documents in
 
 No large bucket is expanded into pairs: all its texts are compared with one
 leader (the least id), then with a few drawn from those unlike it, and so on
-for ``rounds`` rounds. Texts of a bucket that no links join so far are then
-compared: in small buckets all, in large ones where they share one of their
-rarest shingles and could still be alike, an exact filter. Links are verified by weighted Jaccard similarity and joined into
-classes by repeated minimum labels. Equal texts count once throughout.
+for ``rounds`` rounds. What links do not join so far is then compared without
+exception, block against block: of each bucket, all texts but those of its
+largest class are dealt to blocks, and every text of the bucket passes each of
+them, so that rows grow with a bucket's size and only the work within a task
+with its pairs. Links are verified by weighted Jaccard similarity and joined
+into classes by repeated minimum labels. Equal texts count once throughout.
 """
 
 from __future__ import annotations
@@ -214,50 +216,6 @@ def verify(pairs: DataFrame, texts: DataFrame, weights, threshold: float) -> Dat
     return map_texts(both.select("leader", "node", "leader_text", "node_text"), make, "leader long, node long")
 
 
-def prefix(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Rarest shingles of a bag, the weight from each of them on, and the whole weight.
-
-    What follows them weighs less than ``threshold`` of the bag, so two bags
-    that reach it share one of these shingles; from the first they share on,
-    both weigh as much at least as they have in common.
-    """
-    order = np.lexsort((keys, -weights[(keys & np.uint64(BUCKETS - 1)).astype(np.int64)]))
-    rest = np.cumsum(weigh(keys, counts, weights)[order].astype(np.float64)[::-1])[::-1]
-    n = int(np.searchsorted(-rest, -threshold * rest[0] * (1 - SLACK), side="right"))
-    return keys[order[:n]], rest[:n], float(rest[0])
-
-
-def prefixes(texts: DataFrame, weights, threshold: float) -> DataFrame:
-    """(id, total, rare) of each of ``texts`` (id, text) with words; rare: (shingle, rest), see ``prefix``."""
-
-    def make():
-        own = weights.value
-
-        def step(batch):
-            texts, ids = texts_of(batch), batch.column("id").to_pylist()
-            out, totals, sizes, shingle, rests = [], [], [], [], []
-            for part in parts(texts):
-                keys, counts, per = shingles([texts[i] for i in part])
-                ends = np.cumsum(per)
-                for i, end, size in zip(part.tolist(), ends.tolist(), per.tolist(), strict=True):
-                    if size:
-                        k, rest, total = prefix(keys[end - size : end], counts[end - size : end], own, threshold)
-                        out.append(ids[i])
-                        totals.append(total)
-                        sizes.append(len(k))
-                        shingle.append(k.view(np.int64))
-                        rests.append(rest)
-            if not out:
-                return None
-            rare = pa.StructArray.from_arrays([pa.array(np.concatenate(shingle)), pa.array(np.concatenate(rests))], ["shingle", "rest"])
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), rare)
-            return pa.RecordBatch.from_arrays([pa.array(out, pa.int64()), pa.array(totals, pa.float64()), lists], ["id", "total", "rare"])
-
-        return step
-
-    return map_texts(texts.select("id", "text"), make, "id long, total double, rare array<struct<shingle: long, rest: double>>")
-
-
 def apart(members: DataFrame, links: DataFrame) -> DataFrame:
     """(bucket, id, component) of the buckets whose texts ``links`` (leader, node) do not all join."""
     classes = components(links.select(F.col("leader").alias("a"), F.col("node").alias("b")))
@@ -267,23 +225,77 @@ def apart(members: DataFrame, links: DataFrame) -> DataFrame:
     return labelled.join(mixed, "bucket", "left_semi")
 
 
-def sifted(split: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
-    """(leader, node): pairs of ``split`` (bucket, id, component) of one bucket and two components, but those provably below ``threshold``.
+def grid(split: DataFrame, block_chars: int = 1_000_000, stripe_chars: int = 8_000_000) -> DataFrame:
+    """(bucket, block, stripe, held, id, component): the texts of ``split`` (bucket, id, component, size) dealt to tasks.
 
-    Texts meet by bucket and rare shingle. Components meet first, so that a
-    large one is never paired within itself.
+    ``held`` texts, those outside the bucket's largest component, are dealt to
+    blocks by hash and stand in every stripe; each text of the bucket is in one
+    stripe and passes all blocks. So any two texts of a bucket and of two
+    components meet, and no group is much larger than a block and a stripe.
+    """
+    kinds = split.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    whole = kinds.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.max_by("size", F.struct("n", "component")).alias("most"), F.sum("size").alias("size"))
+    cuts = whole.select("bucket", "largest", F.ceil((F.col("size") - F.col("most") + 1) / block_chars).alias("blocks"), F.ceil((F.col("size") + 1) / stripe_chars).alias("stripes"))
+    rows = split.drop("size").join(cuts, "bucket")
+    all_of = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    held = rows.filter("component <> largest").withColumn("block", F.pmod(F.xxhash64("id"), "blocks")).withColumn("stripe", F.explode(all_of("stripes")))
+    passing = rows.withColumn("stripe", F.pmod(F.xxhash64(F.lit(1), "id"), "stripes")).withColumn("block", F.explode(all_of("blocks")))
+    either = [r.select("bucket", "block", "stripe", F.lit(h).alias("held"), "id", "component") for r, h in ((held, True), (passing, False))]
+    return either[0].unionByName(either[1])
+
+
+class Block:
+    """Texts that others are compared with all at once: their shingles in order, with the texts that have them."""
+
+    def __init__(self, texts: list[str], weights: np.ndarray):
+        keys, counts, per = shingles(texts)
+        weight = weigh(keys, counts, weights)
+        owner = np.repeat(np.arange(len(texts)), per)
+        self.bags = list(zip(np.split(keys, np.cumsum(per)[:-1]), np.split(weight, np.cumsum(per)[:-1]), strict=True))
+        self.total = np.bincount(owner, weight, len(texts))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner, self.weight = keys[order], owner[order], weight[order]
+
+    def alike(self, bag: tuple[np.ndarray, np.ndarray], threshold: float) -> list[int]:
+        """Numbers of the texts whose similarity with ``bag`` (sorted keys, weights) reaches ``threshold``."""
+        lo, hi = (np.searchsorted(self.keys, bag[0], side) for side in ("left", "right"))
+        times = hi - lo
+        at = np.repeat(lo - np.cumsum(times) + times, times) + np.arange(times.sum())
+        shared = np.bincount(self.owner[at], np.minimum(self.weight[at], np.repeat(bag[1], times)), len(self.total))
+        near = np.flatnonzero(shared >= (threshold - SLACK) * (self.total + float(bag[1].sum()) - shared))
+        return [i for i in near.tolist() if weighted_jaccard(self.bags[i], bag) >= threshold]
+
+
+def joining_links(split: DataFrame, texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """(leader, node): links that join the components of ``split`` (bucket, id, component) as far as texts of a bucket are alike.
+
+    Every pair of a bucket and of two components is compared, but for those
+    that links found in the same task join already.
     """
-    rare = prefixes(texts.join(split.select("id").distinct(), "id", "left_semi"), weights, threshold)
-    rows = split.join(rare, "id").select("bucket", "id", "component", "total", F.explode("rare").alias("r"))
-    rows = materialize(rows.select(F.xxhash64("bucket", "r.shingle").alias("key"), "id", "component", "total", "r.rest"), "rare")
-    mixed = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("key")
-    rows = materialize(rows.join(mixed, "key", "left_semi"), "mixed")
-    kinds = rows.select("key", "component").distinct()
-    meet = kinds.withColumnRenamed("component", "c1").join(kinds.withColumnRenamed("component", "c2"), "key").filter("c1 < c2")
-    left, right = (rows.select("key", F.col("component").alias(f"c{k}"), F.col("id").alias(f"id{k}"), F.col("total").alias(f"total{k}"), F.col("rest").alias(f"rest{k}")) for k in (1, 2))
-    met = meet.join(left, ["key", "c1"]).join(right, ["key", "c2"])
-    met = met.filter(F.least("rest1", "rest2") >= (F.col("total1") + F.col("total2")) * (threshold / (1 + threshold) * (1 - SLACK)))
-    return met.select(F.least("id1", "id2").alias("leader"), F.greatest("id1", "id2").alias("node")).distinct()
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, found = weights.value, []
+        held, passing = pdf[pdf["held"]], pdf[~pdf["held"]]
+        ids, kinds = held["id"].tolist(), held["component"].tolist()
+        root: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while (y := root.get(x, x)) != x:
+                root[x] = x = root.get(y, y)
+            return x
+
+        block = Block(held["text"].tolist(), own)
+        for i, kind, text in zip(passing["id"].tolist(), passing["component"].tolist(), passing["text"].tolist(), strict=True):
+            keys, counts, _ = shingles([text])
+            for j in block.alike((keys, weigh(keys, counts, own)), threshold):
+                if (a := top(kinds[j])) != (b := top(kind)):
+                    root[max(a, b)] = min(a, b)
+                    found.append((min(i, ids[j]), max(i, ids[j])))
+        return pd.DataFrame(found, columns=["leader", "node"], dtype="int64")
+
+    sized = split.join(texts.select("id", F.length("text").alias("size")), "id")
+    dealt = materialize(grid(sized), "grid").join(texts, "id")
+    return dealt.groupBy("bucket", "block", "stripe").applyInPandas(compare, "leader long, node long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -332,11 +344,11 @@ def _settle(spark: SparkSession, pairs: DataFrame, tried: DataFrame | None, link
     return pairs if tried is None else tried.unionByName(pairs)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, whole: int = 32) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3) -> DataFrame:
     """(doc_id, class_id, keep) of each row of ``docs`` (doc_id, text).
 
-    Every candidate pair is in one class already, compared, or (in buckets of
-    over ``whole`` texts only) provably less alike than ``threshold``.
+    Every candidate pair is in one class already or compared. ``rounds``, the
+    turns with leaders, change the work and not the classes.
 
     ``class_id`` is the least doc_id of the class, ``keep`` marks that
     document (all its rows if repeated). Null and empty texts are equal texts,
@@ -361,7 +373,6 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, wh
     texts = materialize(texts.dropDuplicates(["id", "text_key"]).select("id", "text"), "texts")
     drop_unused(spark)
 
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     open_, links, tried = members, [], None
     for turn in range(rounds):
         leaders = open_.groupBy("bucket").agg(F.min("id").alias("leader")) if turn == 0 else _drawn(open_, turn)
@@ -376,13 +387,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3, wh
             break
     # a text taken by one leader may still be like one taken by another: all that links do not join so far is compared
     split = materialize(apart(members, reduce(DataFrame.unionByName, links)), "split")
-    small, large = (split.join(sizes.filter(F.col("n") <= whole if few else F.col("n") > whole).select("bucket"), "bucket", "left_semi") for few in (True, False))
-    other = small.select("bucket", F.col("id").alias("leader"), F.col("component").alias("other"))
-    across = small.join(other, "bucket").filter("leader < id and component <> other").select("leader", F.col("id").alias("node")).distinct()
-    tried = _settle(spark, across, tried, links, texts, weights, threshold)
-    large = materialize(large, "large")
-    if not large.isEmpty():
-        _settle(spark, sifted(large, texts, weights, threshold), tried, links, texts, weights, threshold)
+    links.append(materialize(joining_links(split, texts, weights, threshold), "joining"))
+    drop_unused(spark)
     classes = components(reduce(DataFrame.unionByName, links).select(F.col("leader").alias("a"), F.col("node").alias("b")))
     of_text = unique.select("text_key", "id").join(classes.select(F.col("node").alias("id"), "component"), "id", "left").select("text_key", F.coalesce("component", "id").alias("class_id"))
     out = rows.select("doc_id", "text_key").join(of_text, "text_key")
