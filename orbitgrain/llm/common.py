@@ -59,9 +59,18 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.cut_at = path
     return out
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``materialize``; whatever was made of them must have been set down itself."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.cut_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_unused(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files that nothing refers to."""
     gc.collect()

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitgrain.llm.common import drop_unused, map_texts, materialize, mix64, table, texts_of
+from orbitgrain.llm.common import discard, drop_unused, map_texts, materialize, mix64, table, texts_of
 
 WIDTH, BANDS, ROWS = 5, 10, 4
 BUCKETS, BLOCKS = 1 << 20, 64
@@ -309,6 +309,7 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct()
     both = materialize(both, "links")
     labels = materialize(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels")
+    old = labels
     while True:
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
         ahead = materialize(labels.join(jump, "component").select("node", "component", "far"), "ahead")
@@ -317,7 +318,8 @@ def components(links: DataFrame) -> DataFrame:
         moves = hook.select("node", "far").union(hook.groupBy("component").agg(F.min("far").alias("far")))
         least = moves.groupBy("node").agg(F.min("far").alias("far"))
         new = materialize(labels.join(least, "node").select("node", F.least("component", "far").alias("component"), (F.col("far") < F.col("component")).alias("moved")), "labels")
-        labels = new.select("node", "component")
+        discard(old, ahead)
+        labels, old = new.select("node", "component"), new
         if new.filter("moved").isEmpty():
             return labels
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitgrain.llm.common import drop_unused, map_texts, materialize, mix64, table
+from orbitgrain.llm.common import discard, drop_unused, map_texts, materialize, mix64, table
 
 WINDOW, GRAM = 100, 32
 REACH = WINDOW - GRAM
@@ -283,9 +283,9 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
 
 
 def with_surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """Adds ``before`` (reversed) and ``after`` to wanted (gram, doc_id, place), as groups of the offsets 0 to REACH."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "place")).alias("spots"))  # no more than a text's anchors
-    schema = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+    """Groups of the offsets 0 to REACH: adds ``before`` (reversed) and ``after`` to wanted (gram, large, doc_id, place)."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "large", "place")).alias("spots"))  # no more than a text's anchors
+    schema = pa.schema([("gram", pa.int64()), ("large", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
 
     def make():
         def step(batch):
@@ -294,7 +294,7 @@ def with_surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
             for doc_id, text, spots in zip(batch.column("doc_id").to_pylist(), texts, batch.column("spots").to_pylist(), strict=True):
                 for s in spots:
                     q = s["place"]
-                    row = (s["gram"], doc_id, q, text[max(0, q - REACH) : q][::-1], text[q : q + WINDOW])
+                    row = (s["gram"], s["large"], doc_id, q, text[max(0, q - REACH) : q][::-1], text[q : q + WINDOW])
                     for k, v in zip(out, row, strict=True):
                         out[k].append(v)
             return pa.RecordBatch.from_pydict(out, schema=schema)
@@ -302,8 +302,8 @@ def with_surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         return step
 
     joined = docs.select("doc_id", "text").join(lists, "doc_id")
-    whole = map_texts(joined, make, "gram long, doc_id long, place int, before binary, after binary")
-    return whole.select(F.col("gram").cast("string").cast("binary").alias("meet"), F.lit(0).alias("first"), F.lit(REACH).alias("last"), "doc_id", "place", "before", "after")
+    whole = map_texts(joined, make, "gram long, large boolean, doc_id long, place int, before binary, after binary")
+    return whole.select(F.col("gram").cast("string").cast("binary").alias("meet"), F.lit(0).alias("first"), F.lit(REACH).alias("last"), "doc_id", "place", "before", "after", "large")
 
 
 GROUPS = "meet binary, first int, last int, doc_id long, place int, before binary, after binary"
@@ -363,26 +363,28 @@ def equal_spans(groups: DataFrame) -> DataFrame:
     return again.select("doc_id", F.array(F.col("place") - F.col("first"), F.col("place") - F.col("first") + WINDOW).alias("span"))
 
 
-def differing_spans(groups: DataFrame, most: int, block_rows: int = 20_000) -> DataFrame:
-    """(doc_id, span) of repeated windows among groups; those of more than ``most`` rows are parted until they are smaller or of one offset."""
+def differing_spans(groups: DataFrame, most: int) -> DataFrame:
+    """(doc_id, span) of repeated windows among groups (a table of its own); those of over ``most`` rows are parted until they are smaller or of one offset."""
     found = []
     while True:
-        sizes = groups.groupBy("meet").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        sized = materialize(groups.join(sizes, "meet").withColumn("large", F.col("n") > most).drop("n"), "groups")
-        n, large = sized.agg(F.count_if(~F.col("large")), F.count_if("large")).first()
-        if n:
-            found.append(sorted_spans(sized.filter("not large"), max(64, n // block_rows)))
+        n, large = groups.agg(F.count_if(~F.col("large")), F.count_if("large")).first()
+        spans = sorted_spans(groups.filter("not large"), max(64, n // 20_000))
+        both = groups.filter("large").drop("large")
+        if large:
+            spans = spans.unionByName(equal_spans(both.filter("first = last")))
+        found.append(materialize(spans.groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "spans"))
         if not large:
-            break
-        both = sized.filter("large").drop("large")
-        found.append(equal_spans(both.filter("first = last")))
-        groups = parted(both.filter("first < last"))
-    if not found:
-        return groups.sparkSession.createDataFrame([], "doc_id long, span array<int>")
-    return reduce(DataFrame.unionByName, found)
+            discard(groups)
+            return reduce(DataFrame.unionByName, found)
+        again = parted(both.filter("first < last"))
+        sizes = again.groupBy("meet").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("meet", (F.col("n") > most).alias("large"))
+        smaller = materialize(again.join(sizes, "meet"), "groups")
+        discard(groups)
+        drop_unused(groups.sparkSession)
+        groups = smaller
 
 
-def repeats(docs: DataFrame, most: int = 4000) -> DataFrame:
+def repeats(docs: DataFrame, most: int = 20_000) -> DataFrame:
     """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, text).
 
     ``most`` bounds the rows of a group that one task sorts; larger groups are
@@ -393,15 +395,21 @@ def repeats(docs: DataFrame, most: int = 4000) -> DataFrame:
     again = materialize(gram_counts(docs).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram"), "grams")
     drop_unused(spark)
     seen = materialize(occurrences(docs).join(again, "gram", "left_semi"), "anchors")
+    discard(again)
     drop_unused(spark)
     kinds = materialize(seen.groupBy("gram", "around", "other").agg(F.min(F.struct("doc_id", "place")).alias("first")), "surroundings")
-    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    wanted = kinds.join(several, "gram").select("gram", "first.doc_id", "first.place")
-    spans = materialize(differing_spans(with_surroundings(wanted, docs), most), "spans")
-    drop_unused(spark)
-    spans = spans.groupBy("doc_id").agg(F.flatten(F.collect_list("span")).alias("spans"))
     later = seen.join(kinds, ["gram", "around", "other"]).filter(F.struct("doc_id", "place") != F.col("first")).groupBy("doc_id").agg(F.collect_list("place").alias("whole"))
+    later = materialize(later, "later")
+    discard(seen)
+    drop_unused(spark)
+    several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram", (F.col("n") > most).alias("large"))
+    wanted = kinds.join(several, "gram").select("gram", "large", "first.doc_id", "first.place")
+    groups = materialize(with_surroundings(wanted, docs), "groups")
+    discard(kinds)
+    drop_unused(spark)
+    spans = differing_spans(groups, most).groupBy("doc_id").agg(F.flatten(F.flatten(F.collect_list("spans"))).alias("spans"))
     out = materialize(later.join(spans, "doc_id", "full_outer"), "repeats")
+    discard(later)
     drop_unused(spark)
     return out
 
