@@ -77,6 +77,17 @@ def drop_unused(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def least_hashed(rows: DataFrame, most: int, longest: int = 100_000) -> DataFrame:
+    """(text) of at most ``most`` different texts of ``rows`` of 1 to ``longest`` characters, those with the least hash.
+
+    Only hashes are sorted; texts are read a second time for the chosen ones.
+    """
+    some = rows.filter(f"length(text) between 1 and {longest}").select("text", F.xxhash64("text").alias("h"))
+    last = some.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    chosen = some.filter(F.col("h") <= last) if last is not None else some.limit(0)
+    return chosen.groupBy("h").agg(F.first("text").alias("text")).select("text")
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64 on an unsigned 64-bit array."""
     x = x.astype(np.uint64, copy=True)

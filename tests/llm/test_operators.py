@@ -67,13 +67,16 @@ def test_op1_texts_are_a_distribution():
 
     sample = [[b"a", b"b", b"a", b""], [b"b", b"b", b"a", b""], [b"a", b"c", b""]]
     classes = lm_scoring.TextClasses(sample)
-    c = {b"a": 6, b"b": 3, b"c": 1, b"d": 0}
-    share = {b"a": 0.4, b"b": 0.3, b"c": 0.1, b"d": 0.2}
-    mix = {w: bytes([255 * (w != b"b" and c[w] > 0), 255 * (w == b"b"), *[0] * 6]) for w in c}
+    c, share = {b"a": 6, b"b": 3, b"c": 1, b"d": 0}, {b"a": 0.4, b"b": 0.3, b"c": 0.1, b"d": 0.2}
+
+    def find(own):
+        mix = [[255 * (w != b"b" and c.get(w, 0) > 0), 255 * (w == b"b"), *[0] * 6] for w in own]
+        return np.array([c.get(w, 0) for w in own]), np.log10([share.get(w, 1e-9) for w in own]), np.array(mix, np.uint8)
+
     model = lm_scoring.TextModel(np.array([7, 3, 0, 0, 0, 0, 0, 0]), classes)
-    model.learn(lm_scoring.streams_of(sample, lambda w, _: (c.get(w, 2), 0.0, bytes(8)), np.ones(3, np.int64))[0])
+    model.learn(lm_scoring.streams_of(sample, find, np.ones(3, np.int64))[0])
     texts = [list(t) for t in itertools.product(c, repeat=4)]
-    s, spelled, mixes = lm_scoring.streams_of(texts, lambda w, _: (c[w], math.log10(share[w]), mix[w]), np.zeros(len(texts), np.int64))
+    s, spelled, mixes = lm_scoring.streams_of(texts, find, np.zeros(len(texts), np.int64))
     score, fresh = model.score(s, spelled, mixes)
     assert (10.0**score).sum() == pytest.approx(1.0, abs=1e-5) and np.allclose(score, fresh)
 
@@ -679,9 +682,17 @@ def test_op10_copies_do_not_crowd_out_a_language(spark):
 
 
 def test_op10_lock_step_equals_plain_parse():
-    texts = {"a": "the cat sat on the mat and the rat", "b": "le chat est sur le tapis avec le rat"}
+    texts = {"a": b"the cat sat on the mat and the rat", "b": "le chat est sur le tapis avec le rat là".encode()}
     parser = language_id.CrossParser(texts, {})
     own = {k: language_id.SuffixAutomaton(t) for k, t in texts.items()}
-    some = ["the rat sat", "le rat est là", "", "qqq", "the " * 2000 + "le chat", "x"]
+    some = [t.encode() for t in ("the rat sat", "le rat est là", "", "qqq", "the " * 2000 + "le chat", "x", "猫")]
     for text, row in zip(some, parser.count(some), strict=True):
         assert row.tolist() == [language_id.phrases(own[k], text) for k in ("a", "b")]
+
+
+def test_op10_wide_alphabets_stay_small():
+    rng = np.random.default_rng(3)
+    texts = {"zh": "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 24_000))), "ko": "".join(map(chr, rng.integers(0xAC00, 0xD7A3, 24_000))), "en": "".join(map(chr, rng.integers(97, 123, 24_000)))}
+    parser = language_id.CrossParser({k: t[:20_000].encode() for k, t in texts.items()}, {k: t[20_000:].encode() for k, t in texts.items()})
+    assert sum(codes.nbytes + steps.nbytes for codes, steps in parser.tables) < 200_000_000
+    assert [p[0] for p in parser.predict([texts[k][22_000:] for k in ("zh", "ko", "en")])] == ["zh", "ko", "en"]
