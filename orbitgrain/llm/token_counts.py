@@ -1,9 +1,9 @@
 """Token counts by a map-side two-tier lookup.
 
 A text's count is the sum of its pre-tokens' lengths in tokens. Tier one is a
-broadcast table of the corpus's frequent pre-tokens, tier two a bounded cache
-in each worker, filled by encoding misses in one batch. No pre-token is
-shuffled in the counting pass. Texts with a special string go to the library
+broadcast table of frequent pre-tokens, tier two a bounded cache in each
+worker, filled by encoding misses in one batch. No pre-token of the corpus is
+shuffled. Texts with a special string go to the library
 whole, since special strings are cut out before pre-tokenisation.
 """
 
@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orbitgrain.llm.common import map_texts, table, texts_of
+from orbitgrain.llm.common import least_hashed, map_texts, table, texts_of
 
 #: Fixed values of the tokenizer's own file: its pre-token pattern.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -55,12 +55,11 @@ def _single_thread() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-def frequent_pretokens(docs: DataFrame, path: str, size: int = 65_536, per_task: int = 16_384, prune_at: int = 262_144) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens over all documents.
+def frequent_pretokens(docs: DataFrame, path: str, size: int = 65_536, sample: int = 4096) -> dict[str, int]:
+    """Lengths of the most frequent pre-tokens of at most ``sample`` different texts, those with the least hash.
 
-    Each task counts its own texts; when its table exceeds ``prune_at``
-    entries, the least frequent half is forgotten, and it hands on its
-    ``per_task`` most frequent at the end. The table affects speed only.
+    The table affects speed only, so a bounded sample will do: neither a pass
+    over all texts nor a shuffle of their pre-tokens is needed.
     """
 
     def summary(batches):
@@ -69,13 +68,10 @@ def frequent_pretokens(docs: DataFrame, path: str, size: int = 65_536, per_task:
         for batch in batches:
             for text in texts_of(batch):
                 seen.update(pre.split(text) or ())
-                if len(seen) > prune_at:
-                    seen = Counter(dict(seen.most_common(prune_at // 2)))
-        top = seen.most_common(per_task)
-        if top:
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top]), pa.array([n for _, n in top], pa.int64())], ["w", "n"])
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], ["w", "n"])
 
-    top = docs.select("text").mapInArrow(summary, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size)
+    top = least_hashed(docs, sample).mapInArrow(summary, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(size)
     words = [r.w for r in top.collect()]
     _single_thread()
     return dict(zip(words, PreTokenizer(path).lengths(words), strict=True))
@@ -110,7 +106,7 @@ def count_tokens(docs: DataFrame, path: str, frequent: dict[str, int] | None = N
                         missed = {w for w in words if w not in known}
                     missed = list(missed)
                     cache.update(zip(missed, pre.lengths(missed), strict=True))
-                counts[i] = sum(known.get(w) or cache[w] for w in words)
+                counts[i] = sum(known[w] if w in known else cache[w] for w in words)
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
         return step
