@@ -3,8 +3,9 @@
 For each language a suffix automaton of labelled text is built. A text is
 parsed greedily into the longest substrings that occur in a language's text;
 the language that needs the fewest phrases, normalised by the phrases its own
-held-back text needs, wins. Texts are parsed in blocks of ``BLOCK`` letters, a
-phrase never crossing two blocks, many blocks at a time.
+held-back text needs, wins. The letters parsed are the bytes of a text's
+letters, so that no alphabet makes a table wide. Texts are parsed in blocks of
+``BLOCK`` bytes, a phrase never crossing two blocks, many blocks at a time.
 """
 
 from __future__ import annotations
@@ -23,15 +24,15 @@ BLOCK = 2048
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def normal(text: str) -> str:
-    return NOT_LETTERS.sub(" ", text.lower())
+def normal(text: str) -> bytes:
+    return NOT_LETTERS.sub(" ", text.lower()).encode("utf-8", "surrogatepass")
 
 
 class SuffixAutomaton:
     """All substrings of a text; states as dictionaries while it is built."""
 
-    def __init__(self, text: str):
-        self.next: list[dict[str, int]] = [{}]
+    def __init__(self, text: bytes):
+        self.next: list[dict[int, int]] = [{}]
         link, length, last = [-1], [0], 0
         for c in text:
             cur = len(self.next)
@@ -57,58 +58,56 @@ class SuffixAutomaton:
                     link[q] = link[cur] = clone
             last = cur
 
-    def steps(self, alphabet: dict[str, int], width: int) -> np.ndarray:
-        """Flat table: state * width + letter -> 2 * next state + (a phrase ended before the letter).
+    def steps(self) -> tuple[np.ndarray, np.ndarray]:
+        """(code of each byte, flat table): state * codes + code -> 2 * next state + (a phrase ended before the byte).
 
-        A letter that the text lacks is a phrase by itself.
+        Only bytes of the text have codes of their own; others, code 0, are
+        phrases by themselves, and lead to a last state that any byte leaves
+        with a new phrase.
         """
-        out = np.full((len(self.next), width), -1, np.int64)
+        own = sorted(self.next[0])
+        codes = np.zeros(256, np.int64)
+        codes[own] = np.arange(1, len(own) + 1)
+        last = len(self.next)
+        out = np.full((last + 1, len(own) + 1), -1, np.int32)
         for s, after in enumerate(self.next):
             for c, t in after.items():
-                out[s, alphabet[c]] = 2 * t
-        root = np.where(out[0] >= 0, out[0] + 1, 1)
-        return np.where(out >= 0, out, root).astype(np.int32).ravel()
+                out[s, codes[c]] = 2 * t
+        root = np.where(out[0] >= 0, out[0] + 1, 2 * last + 1)
+        return codes, np.where(out >= 0, out, root).ravel()
 
 
-def phrases(automaton: SuffixAutomaton, text: str) -> int:
+def phrases(automaton: SuffixAutomaton, text: bytes) -> int:
     """Phrases of a greedy parse, the plain way."""
-    count, state = 0, 0
+    count = 0
     for i in range(0, len(text), BLOCK):
-        state = 0
+        state, count = 0, count + 1
         for c in text[i : i + BLOCK]:
-            if c in automaton.next[state]:
+            if state is not None and c in automaton.next[state]:
                 state = automaton.next[state][c]
             else:
-                count, state = count + 1, automaton.next[0].get(c, 0)
-        count += 1
+                state, count = automaton.next[0].get(c), count + 1
     return count
 
 
 class CrossParser:
-    """Automata of all languages over one alphabet; letters beyond it are strangers everywhere."""
+    """Automata of all languages, each as a table as wide as its own bytes are many."""
 
-    def __init__(self, texts: dict[str, str], held_back: dict[str, str]):
+    def __init__(self, texts: dict[str, bytes], held_back: dict[str, bytes]):
         self.langs = sorted(texts)
-        letters = sorted(set("".join(texts.values())))
-        self.alphabet = {c: i + 1 for i, c in enumerate(letters)}
-        self.width = len(letters) + 1
-        self.tables = [SuffixAutomaton(texts[k]).steps(self.alphabet, self.width) for k in self.langs]
-        self.codes = np.zeros(max((ord(c) for c in letters), default=0) + 2, np.int32)
-        for c, i in self.alphabet.items():
-            self.codes[ord(c)] = i
-        # phrases a letter in the language's own unseen text; 1 where there is none
-        own = [self.count([held_back.get(k, "")])[0, j] / max(1, len(held_back.get(k, ""))) for j, k in enumerate(self.langs)]
+        self.tables = [SuffixAutomaton(texts[k]).steps() for k in self.langs]
+        # phrases a byte in the language's own unseen text; 1 where there is none
+        own = [self.count([held_back.get(k, b"")])[0, j] / max(1, len(held_back.get(k, b""))) for j, k in enumerate(self.langs)]
         self.scale = np.array([o or 1.0 for o in own])
         if not all(held_back.get(k) for k in self.langs):
             self.scale[:] = 1.0
 
-    def count(self, texts: list[str]) -> np.ndarray:
+    def count(self, texts: list[bytes]) -> np.ndarray:
         """Phrases of each text under each language."""
         out = np.zeros((len(texts), len(self.langs)), np.int64)
-        joined = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        joined = np.frombuffer(b"".join(texts), np.uint8)
         if not len(joined) or not self.langs:
             return out
-        codes = self.codes[np.minimum(joined, len(self.codes) - 1)]
         sizes = np.array([len(t) for t in texts])
         blocks = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(texts)), blocks)
@@ -118,10 +117,11 @@ class CrossParser:
         order = np.argsort(-size, kind="stable")
         start, size, owner = start[order], size[order], owner[order]
         alive = np.searchsorted(-size, -np.arange(size[0]), side="left")  # blocks longer than each step
-        for j, steps in enumerate(self.tables):
+        for j, (codes, steps) in enumerate(self.tables):
+            width, own = int(codes.max()) + 1, codes[joined]
             state, found = np.zeros(len(start), np.int64), np.ones(len(start), np.int64)
             for i, k in enumerate(alive):
-                at = steps[state[:k] * self.width + codes[start[:k] + i]]
+                at = steps[state[:k] * width + own[start[:k] + i]]
                 found[:k] += at & 1
                 state[:k] = at >> 1
             np.add.at(out[:, j], owner, found)
@@ -162,13 +162,13 @@ def train(docs: DataFrame, letters: int = 24_000, rows: int = 48) -> CrossParser
     pieces = picked.select("lang", F.explode(F.regexp_extract_all("text", F.lit("(?s).{1,400}"), F.lit(0))).alias("piece"))
     each = -(-letters * 5 // 4 // 400) + 1
     ranked = pieces.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("piece"), "piece"))).filter(F.col("r") <= each)
-    texts: dict[str, list[str]] = {}
+    texts: dict[str, list[bytes]] = {}
     for r in sorted(ranked.collect(), key=lambda r: (r.lang, r.r)):
         texts.setdefault(r.lang, []).append(normal(r.piece))
     fit, back = {}, {}
     for k, parts in texts.items():
         cut = max(1, len(parts) * 4 // 5)
-        fit[k], back[k] = " ".join(parts[:cut])[:letters], " ".join(parts[cut:])
+        fit[k], back[k] = " ".join(p.decode("utf-8", "surrogatepass") for p in parts[:cut])[:letters].encode("utf-8", "surrogatepass"), b" ".join(parts[cut:])
     return CrossParser(fit, back)
 
 
