@@ -25,7 +25,9 @@ def block_median(blocks: DataFrame, keys=("bx", "by"), bands=BANDS) -> DataFrame
     """A01, X04 for national grids: one row for each block and look, bands as arrays of float; nan or null is nodata.
 
     A block's looks are brought together (a few dozen of one block's size) and
-    reduced by one vectorised median.
+    reduced by one vectorised median. A look without an array for a band has no
+    data in it; if no look has one, neither has the result. Looks of different
+    lengths are an error.
     """
     fields = ", ".join(f"{b} array<float>" for b in bands)
     kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
@@ -33,13 +35,18 @@ def block_median(blocks: DataFrame, keys=("bx", "by"), bands=BANDS) -> DataFrame
     def reduce_block(key: tuple, table: pa.Table) -> pa.Table:
         out = {k: [v.as_py()] for k, v in zip(keys, key, strict=True)}
         for b in bands:
-            column = table.column(b).combine_chunks()
+            column = pc.drop_null(table.column(b).combine_chunks())
+            if not len(column):
+                out[b] = pa.array([None], pa.list_(pa.float32()))
+                continue
+            if len(set(column.value_lengths().to_pylist())) > 1:
+                raise ValueError(f"looks of a block have {b} in different lengths")
             flat = pc.fill_null(column.flatten(), float("nan")).to_numpy(zero_copy_only=False)
             stack = flat.reshape(len(column), -1)
             some = ~np.isnan(stack).all(0)
             middle = np.full(stack.shape[1], np.nan, np.float32)
             middle[some] = np.nanmedian(stack[:, some], 0)
-            out[b] = pa.array([pa.array(middle, from_pandas=True).to_pylist()], pa.list_(pa.float32()))
+            out[b] = pa.ListArray.from_arrays(pa.array([0, len(middle)], pa.int32()), pa.array(middle, from_pandas=True))
         schema = pa.schema([*((k, pa.int32() if kinds[k] == "int" else pa.int64()) for k in keys), *((b, pa.list_(pa.float32())) for b in bands)])
         return pa.table(out, schema=schema)
 
@@ -56,15 +63,17 @@ def blocks_to_pixels(blocks: DataFrame, width: int = 512, bands=BANDS) -> DataFr
 
 
 def pixels_to_blocks(pixels: DataFrame, keys=("item_id",), width: int = 16, bands=BANDS) -> DataFrame:
-    """Inverse of :func:`blocks_to_pixels` for small blocks; cells without a row are null."""
-    at = {"bx": F.floor(F.col("cx") / width).cast("int"), "by": F.floor(F.col("cy") / width).cast("int"), "i": (F.col("cy") % width * width + F.col("cx") % width).cast("int")}
-    cells = pixels.withColumns(at).groupBy(*keys, "bx", "by", "i").agg(*(F.avg(b).cast("float").alias(b) for b in bands))
-    maps = cells.groupBy(*keys, "bx", "by").agg(*(F.map_from_entries(F.collect_list(F.struct("i", b))).alias(b) for b in bands))
-    return maps.select(*keys, "bx", "by", *(F.transform(F.sequence(F.lit(0), F.lit(width * width - 1)), _lookup(b)).alias(b) for b in bands))
-
+    """Inverse of :func:`blocks_to_pixels`; cells without a row are null.
 
-def _lookup(band: str):
-    return lambda i: F.try_element_at(F.col(band), i)
+    Every block brings a row without values for each of its cells, so the work
+    follows the number of cells whatever the width.
+    """
+    at = {"bx": F.floor(F.col("cx") / width).cast("int"), "by": F.floor(F.col("cy") / width).cast("int"), "i": (F.col("cy") % width * width + F.col("cx") % width).cast("int")}
+    rows = pixels.withColumns(at).select(*keys, "bx", "by", "i", *bands)
+    empty = rows.select(*keys, "bx", "by").distinct().withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(width * width - 1))))
+    cells = rows.unionByName(empty, allowMissingColumns=True).groupBy(*keys, "bx", "by", "i").agg(*(F.avg(b).cast("float").alias(b) for b in bands))
+    blocks = cells.groupBy(*keys, "bx", "by").agg(F.array_sort(F.collect_list(F.struct("i", *bands))).alias("cells"))
+    return blocks.select(*keys, "bx", "by", *(F.col("cells").getField(b).alias(b) for b in bands))
 
 
 def scl_composite(pixels: DataFrame, year: int, month: int, roi: DataFrame | None = None, resolution: float = 20.0, tiles: DataFrame | None = None) -> DataFrame:

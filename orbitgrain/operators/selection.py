@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FOOTPRINT_SHARE = 0.9  # fixed value
 
 
 def largest_footprint(items: DataFrame) -> DataFrame:
-    """Adds ``tile_area``, the greatest area of the item's tile."""
-    return items.withColumn("tile_area", F.max("area").over(Window.partitionBy("tile_id")))
+    """Adds ``tile_area``, the greatest area of the item's tile; a tile of many items is combined before it is dealt."""
+    largest = items.groupBy("tile_id").agg(F.max("area").alias("tile_area"))
+    return items.join(largest.withColumnRenamed("tile_id", "_tile"), F.col("tile_id").eqNullSafe(F.col("_tile")), "left").drop("_tile")
 
 
 def near_full(items: DataFrame, share: float = FOOTPRINT_SHARE) -> DataFrame:

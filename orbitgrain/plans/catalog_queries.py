@@ -359,7 +359,8 @@ def _(v):
     return audit.safe_audit(images.unionByName(meta).unionByName(roots), [f"B0{i}" for i in range(1, 8)]).select("product", "granules", "bad_granules", "complete")
 
 
-@q("a23_set_fingerprint")
+@q("a23_set_fingerprint", """
+SELECT item_id AS product, sha256('[' || string_agg('{"path":"' || asset_key || '","size":' || bytes || ',"etag":"e"}', ',' ORDER BY asset_key) || ']') AS fingerprint FROM assets_v GROUP BY 1""")
 def _(v):
     objects = v("assets_v").select(F.col("item_id").alias("product"), F.col("asset_key").alias("path"), F.col("bytes").alias("size"), F.lit("e").alias("etag"))
     return audit.set_fingerprint(objects)
@@ -539,7 +540,19 @@ def _(v):
     return state.high_water_mark(v("jobs_v")).select(ts("mark"), "items")
 
 
-@q("t04_fold_attempts")
+def attempt_states(bad: str) -> str:
+    """Each item's state after its last attempt that counts, of the rows where ``bad`` holds in the end."""
+    return f"""
+WITH e AS (SELECT *, outcome IN ('error', 'throttled') AS bad, coalesce(count(*) FILTER (outcome IN ('error', 'throttled')) OVER w, 0) AS earlier, coalesce(count(*) FILTER (outcome = 'completed') OVER w, 0) AS done
+ FROM attempts_v WINDOW w AS (PARTITION BY item_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY event_id DESC) AS back FROM e WHERE earlier < 5 AND done = 0),
+s AS (SELECT item_id, CASE WHEN outcome = 'completed' THEN 'completed' WHEN bad AND earlier = 4 THEN CASE outcome WHEN 'throttled' THEN 'retired' ELSE 'failed' END WHEN bad THEN 'retry_wait' ELSE 'queued' END AS status,
+ CAST(earlier + CASE WHEN bad THEN 1 ELSE 0 END AS INT) AS attempts, event_id AS last_event,
+ CASE WHEN bad AND earlier < 4 THEN {at("ts + to_microseconds(CAST(1e6 * CASE outcome WHEN 'throttled' THEN coalesce(retry_after, 900) ELSE least(3600, 60 * pow(2, earlier)) END AS BIGINT))")} END AS next_attempt_at FROM l WHERE back = 1)
+SELECT item_id, status, attempts, next_attempt_at{", last_event" if bad == "TRUE" else ""} FROM s WHERE {bad}"""
+
+
+@q("t04_fold_attempts", attempt_states("TRUE"))
 def _(v):
     return state.fold_attempts(v("attempts_v")).select("item_id", "status", "attempts", ts("next_attempt_at"), "last_event")
 

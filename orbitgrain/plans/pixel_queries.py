@@ -350,10 +350,10 @@ def _(v):
     return rounded(grid.wide_bands(long_bands(v)))
 
 
-@q("j06_cross_resolution", "WITH s AS (SELECT cx, cy, max(b05) AS v FROM pixels_v WHERE cx < 10 AND cy < 5 GROUP BY 1, 2), t AS (SELECT DISTINCT cx, cy FROM pixels_v) SELECT t.cx, t.cy, v FROM t JOIN s ON s.cx = t.cx // 2 AND s.cy = t.cy // 2")
+@q("j06_cross_resolution", "WITH s AS (SELECT cx, cy, max(b05) AS v FROM pixels_v GROUP BY 1, 2), t AS (SELECT DISTINCT cx, cy FROM pixels_v) SELECT t.cx, t.cy, v FROM t JOIN s ON s.cx = t.cx // 2 AND s.cy = t.cy // 2")
 def _(v):
     px = v("pixels_v")
-    coarse = px.filter("cx < 10 and cy < 5").groupBy("cx", "cy").agg(F.max("b05").alias("v"))
+    coarse = px.groupBy("cx", "cy").agg(F.max("b05").alias("v"))
     return grid.nearest(px.select("cx", "cy").distinct(), coarse, 10.0, 20.0).select("cx", "cy", "v")
 
 
@@ -407,17 +407,17 @@ def _(v):
     return grid.source_order_mosaic(cells)
 
 
-@q("r06_union_extent", "SELECT cx, cy, count(*) AS n FROM pixels_v WHERE source <> 'orbit' GROUP BY 1, 2")
+@q("r06_union_extent", "SELECT cx, cy, count(*) AS n, max(b04) FILTER (source = 'l2a') AS b04, max(b08) FILTER (source = 'boa') AS b08, max(b11) FILTER (source = 'orbit') AS b11 FROM pixels_v GROUP BY 1, 2")
 def _(v):
     px = v("pixels_v")
-    both = grid.union_extent(px.filter("source = 'l2a'").select("cx", "cy", "b04"), px.filter("source = 'boa'").select("cx", "cy", "b08"))
-    return both.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    every = grid.union_extent(*(px.filter(F.col("source") == s).select("cx", "cy", b) for s, b in (("l2a", "b04"), ("boa", "b08"), ("orbit", "b11"))))
+    return every.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"), *(F.max(b).alias(b) for b in ("b04", "b08", "b11")))
 
 
-@q("r07_stack", "WITH r AS (SELECT cx, cy, source, b04 AS v, row_number() OVER (PARTITION BY source, cx, cy ORDER BY item_id DESC, n DESC, b04 DESC) AS rn FROM pixels_v) SELECT cx, cy, max(v) FILTER (source = 'l2a') AS l2a, max(v) FILTER (source = 'boa') AS boa FROM r WHERE rn = 1 AND source IN ('l2a', 'boa') GROUP BY 1, 2")
+@q("r07_stack", "WITH r AS (SELECT cx, cy, source, b04 AS v, row_number() OVER (PARTITION BY source, cx, cy ORDER BY item_id DESC, n DESC, b04 DESC) AS rn FROM pixels_v) SELECT cx, cy, max(v) FILTER (source = 'l2a') AS l2a, max(v) FILTER (source = 'boa') AS boa, max(v) FILTER (source = 'orbit') AS orbit FROM r WHERE rn = 1 GROUP BY 1, 2")
 def _(v):
     pieces = v("pixels_v").select(F.col("source").alias("asset_key"), F.struct("item_id", "n", "b04").alias("ord"), "cx", "cy", F.col("b04").alias("v"))
-    return grid.stack_features(pieces, ["l2a", "boa"])
+    return grid.stack_features(pieces, ["l2a", "boa", "orbit"])
 
 
 @q("r13_cube_tiles", "WITH t AS (SELECT CAST(floor((b03 * 100 - 0) / 30000.0e0) AS INT) AS tx, CAST(floor((500000 - b04 * 100) / 30000.0e0) AS INT) AS ty FROM pixels_v) SELECT printf('X%04d_Y%04d', tx, ty) AS tile, count(*) AS n FROM t GROUP BY 1")
@@ -455,9 +455,9 @@ def _(v):
     return cells.select(name.alias("source"), "cx", "cy", *(F.round(F.col(b).cast("double"), 2).alias(b) for b in NAMES))
 
 
-@q("x02_own_index", "SELECT item_id, n, cx, cy, round((b11 - b03) * 1.0e0 / (b11 + b03), 6) AS own FROM pixels_v")
+@q("x02_own_index", "SELECT item_id, n, cx, cy, (b11 - b03) * 1.0e0 / (b11 + b03) AS own FROM pixels_v")
 def _(v):
-    return keyed(m.with_indices(v("pixels_v"), {"own": ("b11", "b03")}), "own")
+    return m.with_indices(v("pixels_v"), {"own": ("b11", "b03")}).select("item_id", "n", "cx", "cy", "own")
 
 
 @q("x03_rule_rows", f"WITH s AS (SELECT {KEY}, {screened('cloudmask < 2 AND terrain < 30', '0.01e0', '', 300)} FROM pixels_v) SELECT {KEY}, {round_sql()} FROM s")

@@ -35,6 +35,6 @@ def at(expression: str) -> str:
 
 def load() -> tuple[dict, dict]:
     """All queries and their SQL."""
-    from orbitgrain.plans import catalog_queries, pixel_queries  # noqa: F401
+    from orbitgrain.plans import catalog_queries, pixel_queries, storage_queries  # noqa: F401
 
     return QUERIES, ORACLES

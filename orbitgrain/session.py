@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -15,3 +17,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     return builder.getOrCreate()
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared folder ``spark.checkpoint.dir``, or below the warehouse where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

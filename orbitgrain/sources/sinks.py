@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orbitgrain.functions.masks import BANDS, INDICES
@@ -35,15 +35,24 @@ def write_month(cells: DataFrame, path: str, source: str, year: int, month: int,
     return out
 
 
-def manifest(inputs: DataFrame, product: str, quality_rule: str, timings: dict[str, float] | None = None) -> DataFrame:
-    """One row a product from (item_id, cloud_cover, selected, reasons)."""
+def _manifest_columns(quality_rule: str, timings: dict[str, float] | None) -> list[Column]:
     used = F.col("selected")
-    return inputs.agg(
-        F.lit(product).alias("product"), F.lit(quality_rule).alias("quality_rule"), F.array_sort(F.collect_list(F.when(used, F.col("item_id")))).alias("inputs"),
+    return [
+        F.lit(quality_rule).alias("quality_rule"), F.array_sort(F.collect_list(F.when(used, F.col("item_id")))).alias("inputs"),
         F.array_sort(F.collect_list(F.when(~used, F.struct("item_id", "reasons")))).alias("skipped"), F.count_if(used).alias("scene_count"), F.avg(F.when(used, F.col("cloud_cover"))).alias("mean_cloud"),
         F.lit(str(dict(sorted(INDICES.items())))).alias("index_definitions"),
         F.create_map(*(F.lit(x) for kv in sorted((timings or {}).items()) for x in kv)).cast("map<string,double>").alias("timings"),
-    )
+    ]
+
+
+def manifest(inputs: DataFrame, product: str, quality_rule: str, timings: dict[str, float] | None = None) -> DataFrame:
+    """The row of one product from (item_id, cloud_cover, selected, reasons)."""
+    return inputs.agg(F.lit(product).alias("product"), *_manifest_columns(quality_rule, timings))
+
+
+def manifests(inputs: DataFrame, quality_rule: str, timings: dict[str, float] | None = None) -> DataFrame:
+    """One row a product from (product, item_id, cloud_cover, selected, reasons); a product's inputs are a month's scenes."""
+    return inputs.groupBy("product").agg(*_manifest_columns(quality_rule, timings))
 
 
 def write_manifest(manifests: DataFrame, path: str) -> None:

@@ -11,9 +11,10 @@ ASSET = "struct<href:string,type:string,title:string,roles:array<string>,`proj:c
 STAC = f"id string, collection string, bbox array<double>, geometry struct<type:string,coordinates:string>, properties string, assets map<string,{ASSET}>, datetime string, _bad string"
 
 
-def read_stac_items(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(items, failures) from one JSON document a file; properties stay a JSON string."""
-    raw = spark.read.schema(STAC).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(path).withColumn("path", F.input_file_name())
+def read_stac_items(spark: SparkSession, path: str, lines: bool = False, files: str = "*.json") -> tuple[DataFrame, DataFrame]:
+    """(items, failures) from one JSON document a file, or a line where ``lines``; properties stay a JSON string."""
+    reader = spark.read.schema(STAC).option("multiLine", not lines).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad")
+    raw = reader.option("recursiveFileLookup", True).option("pathGlobFilter", files).json(path).withColumn("path", F.input_file_name())
     bad = F.col("_bad").isNotNull() | F.col("id").isNull()
     return raw.filter(~bad).drop("_bad"), raw.filter(bad).select("path", F.when(F.col("_bad").isNotNull(), "not-json").otherwise("no-id").alias("reason"))
 

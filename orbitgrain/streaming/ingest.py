@@ -82,30 +82,25 @@ def job_states(events: DataFrame, max_attempts: int = 5, base: float = 60.0, lon
     return events.groupBy("item_id").applyInPandasWithState(fold, STATE_OUT, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
-def keep_latest(path: str, keys: list[str], order: str = "batch_id", buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch step that keeps the last row of each key in a table of hashed partitions.
+def keep_latest(path: str, order: str = "batch_id") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch step that sets each batch down as a partition of its own.
 
-    Only the partitions that a batch touches are rewritten; the batch number
-    is stored, so that a replay of a batch gives the same table.
+    What a batch writes grows with the batch alone, and a replay of a batch
+    writes its partition again; :func:`read_latest` gives the last row of each
+    key, :func:`compact` makes one partition of all so far.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        new = latest_rows(batch.withColumn(order, F.lit(batch_id).cast("long")).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")), ["bucket", *keys], order)
-        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
-        if not touched:
-            return
-        try:
-            old = spark.read.schema(new.schema).parquet(path).filter(F.col("bucket").isin(touched))
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = None
-        rows = new if old is None else latest_rows(old.unionByName(new), ["bucket", *keys], order)
-        # the partitions read are also those written, so the result is set down first
-        staged = f"{path.rstrip('/')}.staged/batch={batch_id}"
-        rows.write.mode("overwrite").parquet(staged)
-        spark.read.schema(rows.schema).parquet(staged).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{order}={batch_id}")
 
     return each
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str], order: str = "batch_id") -> DataFrame:
+    """The last batch's row of each key, with the batch's number."""
+    return latest_rows(spark.read.parquet(path).withColumn(order, F.col(order).cast("long")), keys, order)
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], into: str, order: str = "batch_id") -> None:
+    """The table as :func:`read_latest` has it, written to ``into`` by batch; later batches may go on there."""
+    read_latest(spark, path, keys, order).write.mode("errorifexists").partitionBy(order).parquet(into)

@@ -247,3 +247,21 @@ def test_sinks(spark, tmp_path):
     assert (tmp_path / "items" / "collection=c" / "year=2024" / "month=6" / "day=1" / "tile=t").is_dir()
     sinks.write_statistics(compare.band_statistics(spark.createDataFrame([("s", 6, "ndvi", 0.5)], "source string, month int, index string, v double"), ("source", "month", "index")), str(tmp_path / "st"))
     assert spark.read.json(str(tmp_path / "st" / "json")).first().indices[0]["index"] == "ndvi"
+
+
+def test_block_median_without_some_arrays(spark):
+    looks = [[1.0, 2.0, 4.0, 8.0], None, [3.0, None, 4.0, 2.0]]
+    blocks = spark.createDataFrame([(0, 0, a, None) for a in looks] + [(0, 1, None, [1.0])], "bx int, by int, b03 array<float>, b04 array<float>")
+    got = {r.by: (r.b03, r.b04) for r in composite.block_median(blocks, bands=("b03", "b04")).collect()}
+    assert got == {0: ([2.0, 2.0, 4.0, 5.0], None), 1: (None, [1.0])}
+    with pytest.raises(Exception, match="different lengths"):
+        composite.block_median(spark.createDataFrame([(0, 0, [1.0]), (0, 0, [1.0, 2.0])], "bx int, by int, b03 array<float>"), bands=("b03",)).collect()
+
+
+def test_blocks_of_full_width(spark):
+    width = 512
+    cells = spark.range(width * width).select(F.lit(1).cast("long").alias("item_id"), (F.col("id") % width).alias("cx"), F.expr(f"id div {width}").alias("cy"), (F.col("id") % 1000).cast("double").alias("b03"))
+    blocks = composite.pixels_to_blocks(cells.filter("cx <> cy"), width=width, bands=("b03",))
+    back = composite.blocks_to_pixels(blocks, width, ("b03",))
+    assert back.count() == width * width and back.filter("b03 is null").count() == width
+    assert back.join(cells.withColumnRenamed("b03", "want"), ["cx", "cy"]).filter("b03 <> want").count() == 0

@@ -37,7 +37,7 @@ def test_stream_equals_batch(spark, attempts, tmp_path):
         attempts.withColumn("part", F.ntile(3).over(Window.orderBy("event_id"))).filter(F.col("part") == k + 1).drop("part").coalesce(1).write.mode("append").parquet(src)
     stream = ingest.stream_of(spark, src, attempts.schema, files_per_batch=1)
     table = str(tmp_path / "jobs")
-    each = ingest.keep_latest(table, ["item_id"])
+    each = ingest.keep_latest(table)
     seen = []
 
     def twice(batch, batch_id):
@@ -47,9 +47,11 @@ def test_stream_equals_batch(spark, attempts, tmp_path):
         seen.append(batch_id)
 
     ingest.run_available(ingest.job_states(stream), str(tmp_path / "cp"), twice, "update")
-    got = {r.item_id: (r.status, r.attempts) for r in spark.read.parquet(table).collect()}
+    got = {r.item_id: (r.status, r.attempts) for r in ingest.read_latest(spark, table, ["item_id"]).collect()}
     want = {r.item_id: (r.status, r.attempts) for r in state.fold_attempts(attempts).collect()}
     assert got == want and len(seen) == 3
+    ingest.compact(spark, table, ["item_id"], table + "-new")
+    assert {r.item_id: (r.status, r.attempts) for r in ingest.read_latest(spark, table + "-new", ["item_id"]).collect()} == want
 
 
 def test_new_items_once(spark, tmp_path):
