@@ -219,46 +219,79 @@ def test_op3(spark, sf, documents, edges, none):
 # 4 ------------------------------------------------------------------------
 
 
+def brute_tiles(a, b, least=3):
+    """Greedy string tiling by trying all pairs of places again for every tile."""
+    used_a, used_b, out = [x == 0 for x in a], [x == 0 for x in b], []
+    where = {}
+    for j, x in enumerate(b):
+        where.setdefault(x, []).append(j)
+    while True:
+        best, at = 0, None
+        for i in range(len(a)):
+            for j in where.get(a[i], ()):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
+                    k += 1
+                if k > best:
+                    best, at = k, (i, j)
+        if best < least:
+            return out
+        out.append((*at, best))
+        for k in range(best):
+            used_a[at[0] + k] = used_b[at[1] + k] = True
+
+
 def test_op4_tiles_against_brute_force():
     import random
 
     rng = random.Random(5)
-    for _ in range(40):
-        a, b = ([rng.randrange(1, 6) for _ in range(rng.randrange(3, 30))] for _ in range(2))
-        got = decontamination.tiles(np.array(a), np.array(b), 3)
-        used_a, used_b, total = [False] * len(a), [False] * len(b), 0
-        while True:
-            best = 0
-            for i in range(len(a)):
-                for j in range(len(b)):
-                    k = 0
-                    while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
-                        k += 1
-                    if k > best:
-                        best, at = k, (i, j)
-            if best < 3:
-                break
-            total += best
-            for k in range(best):
-                used_a[at[0] + k] = used_b[at[1] + k] = True
-        for i, j, n in got:
-            assert a[i : i + n] == b[j : j + n]
-        assert max((t[2] for t in got), default=0) == max((t for t in [0] + [x[2] for x in got]), default=0)
-        assert abs(sum(t[2] for t in got) - total) <= 4  # ties may be broken otherwise
+    for _ in range(300):
+        kinds = rng.choice([2, 3, 6])
+        a, b = ([rng.randrange(0 if rng.random() < 0.3 else 1, kinds) for _ in range(rng.randrange(3, 40))] for _ in range(2))
+        b = b + a[5:25] if rng.random() < 0.5 else b
+        assert decontamination.tiles(np.array(a), np.array(b), 3, rng.choice([3, 8, 32])) == brute_tiles(a, b)
+
+
+def test_op4_whole_table_against_brute_force(spark, sf, documents):
+    items = {r.item_id: decontamination.words_of(r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
+    grams = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in items.items()}
+    got = {r.doc_id: r for r in decontamination.op4_decontamination(spark, sf).collect()}
+    assert len(got) == len(documents)
+    for r in documents:
+        words = decontamination.words_of(r.text)
+        own = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+        cover = {}
+        for i, w in items.items():
+            if len(w) >= 5 and own & grams[i]:
+                number = {x: k + 1 for k, x in enumerate(dict.fromkeys(w))}
+                cover[i] = sum(t[2] for t in brute_tiles([number[x] for x in w], [number.get(x, 0) for x in words])) / len(w)
+        row = got[r.doc_id]
+        assert row.coverage == pytest.approx(max(cover.values(), default=0.0)) and row.item_ids == sorted(i for i, c in cover.items() if c >= 0.8)
+
+
+def test_op4_repetitive_texts_take_little_time():
+    import time
+
+    began = time.time()
+    items = decontamination.TestSet([(1, "the " * 60), (2, "a b " * 30)])
+    assert items.coverage("the " * 300_000) == [(1, 1.0)] and items.coverage("b a " * 150_000) == [(2, 1.0)]
+    assert time.time() - began < 30
 
 
 def test_op4_reordered_and_clean(spark, edges, none):
     item = "one two three four five six. seven eight nine ten eleven twelve. thirteen fourteen fifteen sixteen seventeen eighteen"
     parts = item.split(". ")
     docs = spark.createDataFrame([(1, "x y " + item.upper() + " z"), (2, " -- ".join([parts[2], "filler words here", parts[0], parts[1]])), (3, parts[0]), (4, "nothing of it")], "doc_id long, text string")
-    sets = decontamination.test_sets(spark.createDataFrame([(7, item), (8, None), (9, "too short")], "item_id long, text string"))
+    sets = list(decontamination.test_sets(spark.createDataFrame([(7, item), (8, None), (9, "too short")], "item_id long, text string")))
     got = {r.doc_id: r for r in decontamination.leaks(docs, sets).collect()}
     assert [got[i].item_ids for i in (1, 2, 3, 4)] == [[7], [7], [], []]
     assert got[3].coverage == pytest.approx(1 / 3) and got[4].coverage == 0
-    small = decontamination.test_sets(spark.createDataFrame([(7, item), (5, item)], "item_id long, text string"), words_in_block=10)
-    assert len(small) == 2 and decontamination.leaks(docs, small).filter("doc_id = 1").first().item_ids == [5, 7]
+    small = list(decontamination.test_sets(spark.createDataFrame([(7, item), (5, item), (6, item)], "item_id long, text string"), words_in_block=10))
+    both = {r.doc_id: r for r in decontamination.leaks(docs, small).collect()}
+    assert len(small) == 3 and both[1].item_ids == [5, 6, 7] and [both[i].coverage for i in both] == [got[i].coverage for i in both]
+    assert {r.doc_id for r in decontamination.without_leaks(docs, small).collect()} == {3, 4}
     assert decontamination.without_leaks(edges, sets).columns == edges.columns and decontamination.without_leaks(edges, sets).count() == edges.count()
-    assert decontamination.leaks(none, sets).count() == 0 and decontamination.test_sets(none.select(F.col("doc_id").alias("item_id"), "text"))[0].coverage("a b c d e f") == []
+    assert decontamination.leaks(none, sets).count() == 0 and next(decontamination.test_sets(none.select(F.col("doc_id").alias("item_id"), "text"))).coverage("a b c d e f") == []
 
 
 # 5 ------------------------------------------------------------------------
