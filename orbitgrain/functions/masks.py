@@ -189,11 +189,3 @@ FALSE_COLOUR = (("b08", 0.8), ("b04", 0.5), ("b03", 0.5))  # fixed values
 def false_colour(df: DataFrame) -> DataFrame:
     """M13"""
     return df.withColumns({c: scaled_byte(F.col(b), 0.0, high) for c, (b, high) in zip(("red", "green", "blue"), FALSE_COLOUR, strict=True)})
-
-
-def percentile_stretch(values: DataFrame, low: float = 0.02, high: float = 0.98) -> DataFrame:
-    """(band, v) scaled between percentiles of the band's positive values, else between its extremes."""
-    own = F.when(F.col("v") > 0, F.col("v"))
-    ends = values.groupBy("band").agg(F.percentile(own, F.array(F.lit(low), F.lit(high))).alias("p"), F.min("v").alias("least"), F.max("v").alias("most"))
-    ends = ends.select("band", F.coalesce(F.get("p", 0), "least").alias("lo"), F.coalesce(F.get("p", 1), "most").alias("hi"))
-    return values.join(F.broadcast(ends), "band").withColumn("byte", scaled_byte(F.col("v"), F.col("lo"), F.col("hi")))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from orbitgrain.functions import masks
 from orbitgrain.functions.predicates import in_month
 from orbitgrain.operators.grid import clip
+from orbitgrain.operators.quantiles import exact_quantiles
 
 BANDS = masks.BANDS
 
@@ -109,6 +109,14 @@ def _finished(cells: DataFrame, roi: DataFrame | None, resolution: float) -> Dat
     return masks.with_indices(cells if roi is None else clip(cells, roi, resolution))
 
 
+def percentile_stretch(values: DataFrame, low: float = 0.02, high: float = 0.98) -> DataFrame:
+    """(band, v) scaled between percentiles of the band's positive values, else between its extremes; one row of ends a band is sent to all."""
+    ends = values.groupBy("band").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    inner = exact_quantiles(values.filter("v > 0"), ["band"], "v", [low, high])
+    ends = ends.join(inner, "band", "left").select("band", F.coalesce(F.get("q", 0), "least").alias("lo"), F.coalesce(F.get("q", 1), "most").alias("hi"))
+    return values.join(F.broadcast(ends), "band").withColumn("byte", masks.scaled_byte(F.col("v"), F.col("lo"), F.col("hi")))
+
+
 def unfinished_tiles(pixels: DataFrame, finished: DataFrame) -> DataFrame:
     """Tiles whose median is not yet written."""
     return pixels.select("tile_id").distinct().join(finished.select("tile_id").distinct(), "tile_id", "left_anti")

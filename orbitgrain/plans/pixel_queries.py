@@ -163,7 +163,7 @@ WITH l AS (SELECT * FROM {LONG} x), p AS (SELECT band, quantile_cont(v, 0.02) AS
 b AS (SELECT band, CAST(least(greatest(round((v - lo) / (hi - lo) * 255), 0), 255) AS BIGINT) AS byte FROM l JOIN p USING (band))
 SELECT band, CAST(sum(byte) AS BIGINT) AS total, count(*) AS n FROM b GROUP BY 1""")
 def _(v):
-    return m.percentile_stretch(long_bands(v)).groupBy("band").agg(F.sum(F.col("byte").cast("long")).alias("total"), F.count(F.lit(1)).alias("n"))
+    return composite.percentile_stretch(long_bands(v)).groupBy("band").agg(F.sum(F.col("byte").cast("long")).alias("total"), F.count(F.lit(1)).alias("n"))
 
 
 MED = ", ".join(f"median({b}) AS {b}" for b in NAMES)
