@@ -15,6 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orbitgrain.llm import license_texts as texts
 from orbitgrain.llm.common import ascii_lower, table
 
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -27,15 +28,24 @@ BASE = (
     ("mit license", "mit"),
 )
 
-# Label, opening words of a licence, mandatory key phrase in it.
+# Label, words of a licence or of a reference to it, mandatory key phrase in it.
 TEMPLATES = (
+    ("mit", texts.MIT, "to deal in the software without restriction"),
+    ("isc", texts.ISC, "permission to use copy modify and or distribute this software"),
+    ("bsd", texts.BSD, "redistribution and use in source and binary forms"),
+    ("zlib", texts.ZLIB, "the origin of this software must not be misrepresented"),
+    ("apache", texts.APACHE, "apache license"),
+    ("gpl", texts.GPL, "gnu general public license"),
+    ("mpl", texts.MPL, "mozilla public license"),
+    ("unlicense", texts.UNLICENSE, "unencumbered software released into the public domain"),
+    ("bsl", texts.BOOST, "documentation covered by this license"),
     ("gpl", "under the terms of the gnu general public license", "gnu general public license"),
     ("gpl", "licensed under the gnu general public license version", "gnu general public license"),
     ("lgpl", "under the terms of the gnu lesser general public license", "gnu lesser general public license"),
     ("agpl", "under the terms of the gnu affero general public license", "gnu affero general public license"),
     ("apache", "licensed under the apache license version 2 0", "apache license"),
     ("mit", "released under the mit license", "mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "permission is hereby granted free of charge"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "free of charge to any person obtaining a copy"),
     ("bsd", "redistribution and use in source and binary forms with or without modification", "redistribution and use in source and binary forms"),
     ("mpl", "subject to the terms of the mozilla public license", "mozilla public license"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose", "permission to use copy modify and or distribute this software"),
@@ -118,18 +128,24 @@ def scan(docs: DataFrame, idf: dict[str, float], templates=TEMPLATES, rare: int
 
     rows = rows.withColumn("proposed", F.array_distinct(F.filter(F.flatten(F.transform(spots, proposals)), lambda x: x.isNotNull())))
 
+    # of each template: its words, its index words and their places, its key phrase and where that stands
+    own, keys = [body.split() for _, body, _ in templates], [key.split() for *_, key in templates]
+    starts = [next(i for i in range(len(w)) if w[i : i + len(key)] == key) for w, key in zip(own, keys, strict=True)]
+    literal = lambda lists: F.array(*(F.array(*map(F.lit, x)) for x in lists))
+    bodies, phrases, first = literal(own), literal(keys), F.array(*map(F.lit, starts))
+    rare_words, rare_at = literal([[w for w, _ in e] for e in index]), literal([[q for _, q in e] for e in index])
+
+    def in_place(expected: Column, at) -> Column:
+        """How many of the expected words stand where ``at`` puts them."""
+        return F.size(F.filter(F.transform(expected, lambda w, q: F.coalesce(F.get(words, at(q)) == w, F.lit(False))), lambda hit: hit))
+
     def judged(x: Column) -> Column:
         """Share of the template's words in place, 0 unless the index words agree and the key phrase stands."""
-        template, offset = x % k, (F.floor(x / k) - 1_000).cast("int")
-        out = F.lit(0.0)
-        for t, (_, body, key) in enumerate(templates):
-            own = body.split()
-            start = next(i for i in range(len(own)) if own[i : i + len(key.split())] == key.split())
-            there = lambda q, w: F.when((offset + q >= 0) & F.coalesce(F.get(words, F.greatest(offset + q, F.lit(0))) == w, F.lit(False)), 1).otherwise(0)
-            agreed = sum((there(q, w) for w, q in index[t]), F.lit(0)) >= min(agree, len(index[t]))
-            share = sum((there(q, w) for q, w in enumerate(own)), F.lit(0)) / len(own)
-            out = F.when(template == t, F.when(agreed & phrase_at(words, offset + start, key.split()), share).otherwise(0.0)).otherwise(out)
-        return out
+        t, offset = (x % k).cast("int"), (F.floor(x / k) - 1_000).cast("int")
+        body, phrase, rarest = F.get(bodies, t), F.get(phrases, t), F.get(rare_words, t)
+        agreed = in_place(rarest, lambda q: offset + F.get(F.get(rare_at, t), q)) >= F.least(F.lit(agree), F.size(rarest))
+        stands = in_place(phrase, lambda q: offset + F.get(first, t) + q) == F.size(phrase)
+        return F.when(agreed & stands, in_place(body, lambda q: offset + q) / F.size(body)).otherwise(0.0)
 
     rows = rows.withColumn("found", F.filter(F.transform("proposed", lambda x: F.struct((x % k).cast("int").alias("t"), judged(x).alias("share"))), lambda s: s["share"] > 0))
     names = F.array(*(F.lit(label) for label, _, _ in templates))

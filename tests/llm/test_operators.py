@@ -209,11 +209,13 @@ def test_op3(spark, sf, documents, edges, none):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     idf = license_scan.inverse_frequencies(docs)
     text = {r.doc_id: r.text for r in documents}
-    some = edges.select("doc_id", "text").union(spark.createDataFrame([(20, "x permission is hereby granted free of charge to any person"), (21, "General Public License gnu"), (22, "under CC-BY\nSA 4.0 licensed under cc by sa 4 0")], "doc_id long, text string"))
+    some = edges.select("doc_id", "text").union(spark.createDataFrame([(20, "x permission is hereby granted free of charge to any person"), (21, "General Public License gnu"), (22, "under CC-BY\nSA 4.0 licensed under cc by sa 4 0"), *((30 + i, f"// {t[:len(t) * 2 // 3]}") for i, t in enumerate((license_scan.texts.MIT, license_scan.texts.ZLIB, license_scan.texts.BSD, license_scan.texts.BOOST)))], "doc_id long, text string"))
     for frame, texts in ((docs, text), (some, {r.doc_id: r.text for r in some.collect()})):
         for r in license_scan.scan(frame, idf).collect():
             assert tuple(r)[1:7] == brute_scan(texts[r.doc_id], idf) and 0 <= r.score <= 1
     assert license_scan.scan(none, license_scan.inverse_frequencies(none)).count() == 0
+    # a body that lacks its last third is known all the same, as itself and as no other
+    assert {r.doc_id: r.labels for r in license_scan.scan(some, idf).filter("doc_id >= 30").collect()} == {30: "mit", 31: "zlib", 32: "bsd", 33: "bsl"}
 
 
 # 4 ------------------------------------------------------------------------
