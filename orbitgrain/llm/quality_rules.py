@@ -113,7 +113,11 @@ class LineField:
 PRIOR = LineField(np.array([2.0, -0.5, -4, -3, -4, -2, -1, -1, -4, -3, -0.5, 0, 0.5, -0.5, -0.5]), np.array([[0.5, -0.5], [-0.5, 0.5]]))
 
 
-def fit_field(sequences: list[tuple[np.ndarray, int]], rounds: int = 100, penalty: float = 1e-3, length: int = 64) -> LineField:
+#: Lines that are fitted together; a field knows no step from one run to the next.
+RUN = 64
+
+
+def fit_field(sequences: list[tuple[np.ndarray, int]], rounds: int = 100, penalty: float = 1e-3, length: int = RUN) -> LineField:
     """Maximum likelihood by forward-backward and Adam; every line takes its document's label."""
     parts = [(x[i : i + length], y) for x, y in sequences for i in range(0, len(x), length)]
     if len({y for _, y in parts}) < 2:
@@ -154,8 +158,11 @@ def fit_field(sequences: list[tuple[np.ndarray, int]], rounds: int = 100, penalt
     return LineField(w, t)
 
 
-def train_field(docs: DataFrame, labels: DataFrame, max_documents: int = 2000, max_lines: int = 512) -> LineField:
-    """Fit on at most ``max_documents`` labelled documents, those with the least hash of doc_id, and at most ``max_lines`` lines of each (evenly spaced)."""
+def train_field(docs: DataFrame, labels: DataFrame, max_documents: int = 2000, max_runs: int = 8) -> LineField:
+    """Fit on at most ``max_documents`` labelled documents, those with the least hash of doc_id, and at most ``max_runs`` runs of 64 neighbouring lines of each (evenly spaced).
+
+    Of rows that share a doc_id one is taken.
+    """
     sample = labels.filter("quality is not null and doc_id is not null").select(F.col("doc_id"), F.col("quality").cast("int").alias("quality")).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
@@ -164,15 +171,17 @@ def train_field(docs: DataFrame, labels: DataFrame, max_documents: int = 2000, m
             blobs = []
             for text in texts_of(batch):
                 x = lines_of(text)[0]
-                if len(x) > max_lines:
-                    x = x[np.linspace(0, len(x) - 1, max_lines).astype(int)]
-                blobs.append(x.tobytes())
+                runs = np.split(x, range(RUN, len(x), RUN))
+                if len(runs) > max_runs:
+                    runs = [runs[i] for i in np.linspace(0, len(runs) - 1, max_runs).astype(int)]
+                blobs.append(b"".join(r.tobytes() for r in runs))
             return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(blobs, pa.binary())], ["doc_id", "quality", "x"])
 
         return step
 
-    rows = map_texts(joined.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "text"), make, "doc_id long, quality int, x binary").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.x)))
+    found = map_texts(joined.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "text"), make, "doc_id long, quality int, x binary")
+    rows = found.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect()
+    rows.sort(key=lambda r: r.doc_id)
     return fit_field([(np.frombuffer(bytes(r.x), np.uint8).reshape(-1, len(FEATURES)), int(r.quality > 0)) for r in rows if len(r.x)])
 
 
