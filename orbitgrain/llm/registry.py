@@ -15,4 +15,19 @@ from orbitgrain.llm.token_counts import op8_token_counts
 
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id)}
 
-ORACLES: dict[str, str] = {}
+#: Bytes as pairs of hexadecimal digits: windows of 100 bytes are 200 digits.
+OP7 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, unnest(range(greatest(length(h) // 2 - 99, 0))) AS s, h FROM d),
+k AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 200)) AS m FROM w),
+r AS (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY m ORDER BY doc_id, s) AS nth FROM k) x WHERE nth > 1),
+g AS (SELECT doc_id, s, sum(CASE WHEN before IS NULL OR s > before + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM r),
+u AS (SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM g GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS z FROM u),
+c AS (SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) AS kept, max(b) AS last FROM p JOIN d USING (doc_id) GROUP BY 1)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+ sha256(unhex(CASE WHEN c.doc_id IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)"""
+
+#: Of the other nine, results are ordered packings, sampled or learned verdicts, library tokens or classes of links.
+ORACLES: dict[str, str] = {"op7_suffix_dedup": OP7}
