@@ -25,8 +25,9 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orbitgrain.llm.common import discard, drop_unused, map_texts, materialize, mix64, table
@@ -127,17 +128,17 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """(gram, around, other, doc_id, place) of each anchor."""
+    """(gram, around, other, doc_id, place) of each anchor of docs (doc_id, base, text)."""
 
     def run(batches):
         for batch in batches:
-            ids = np.asarray(batch.column("doc_id").to_pylist(), np.int64)
+            ids, base = (np.asarray(batch.column(c).to_pylist(), np.int64) for c in ("doc_id", "base"))
             for rows, texts in byte_batches(batch):
                 who, place, *hashes = anchors(texts)
-                arrays = [*(pa.array(h.view(np.int64)) for h in hashes), pa.array(ids[rows][who]), pa.array(place.astype(np.int32))]
+                arrays = [*(pa.array(h.view(np.int64)) for h in hashes), pa.array(ids[rows][who]), pa.array(place + base[rows][who], pa.int64()).cast(pa.int32())]
                 yield pa.RecordBatch.from_arrays(arrays, ["gram", "around", "other", "doc_id", "place"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "gram long, around long, other long, doc_id long, place int")
+    return docs.select("doc_id", "base", "text").mapInArrow(run, "gram long, around long, other long, doc_id long, place int")
 
 
 def common_prefix(a: bytes, b: bytes) -> int:
@@ -291,17 +292,19 @@ def with_surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         def step(batch):
             out = {k: [] for k in schema.names}
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc_id, text, spots in zip(batch.column("doc_id").to_pylist(), texts, batch.column("spots").to_pylist(), strict=True):
+            for doc_id, base, text, spots in zip(batch.column("doc_id").to_pylist(), batch.column("base").to_pylist(), texts, batch.column("spots").to_pylist(), strict=True):
                 for s in spots:
-                    q = s["place"]
-                    row = (s["gram"], s["large"], doc_id, q, text[max(0, q - REACH) : q][::-1], text[q : q + WINDOW])
+                    q = s["place"] - base
+                    if not 0 <= q < len(text or b""):
+                        continue  # of another text with this doc_id
+                    row = (s["gram"], s["large"], doc_id, q + base, text[max(0, q - REACH) : q][::-1], text[q : q + WINDOW])
                     for k, v in zip(out, row, strict=True):
                         out[k].append(v)
             return pa.RecordBatch.from_pydict(out, schema=schema)
 
         return step
 
-    joined = docs.select("doc_id", "text").join(lists, "doc_id")
+    joined = docs.select("doc_id", "base", "text").join(lists, "doc_id")
     whole = map_texts(joined, make, "gram long, large boolean, doc_id long, place int, before binary, after binary")
     return whole.select(F.col("gram").cast("string").cast("binary").alias("meet"), F.lit(0).alias("first"), F.lit(REACH).alias("last"), "doc_id", "place", "before", "after", "large")
 
@@ -342,7 +345,8 @@ def sorted_spans(groups: DataFrame, blocks: int) -> DataFrame:
 
     def block(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, spans = [], []
-        for (first, last), part in pdf.sort_values(["doc_id", "place"]).groupby(["first", "last"], sort=False):
+        pdf = pdf.sort_values(["doc_id", "place"]).drop_duplicates(["meet", "doc_id", "place"])  # repeated rows of one text
+        for (first, last), part in pdf.groupby(["first", "last"], sort=False):
             found = repeated_offsets(part["before"].tolist(), part["after"].tolist(), int(first), int(last))
             some = found.any(0)
             for i, (doc_id, q) in enumerate(zip(part["doc_id"].tolist(), part["place"].tolist(), strict=True)):
@@ -384,8 +388,22 @@ def differing_spans(groups: DataFrame, most: int) -> DataFrame:
         groups = smaller
 
 
+def with_bases(rows: DataFrame) -> DataFrame:
+    """Adds ``base`` to rows (doc_id, text): where the text starts among those of its doc_id, 0 if it is the only one.
+
+    Different texts of one doc_id stand one after another, in order of hash;
+    equal ones stand at the same place.
+    """
+    keyed = rows.withColumns({"_h": F.xxhash64("text"), "_n": F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")})
+    several = keyed.groupBy("doc_id").agg(F.min("_h").alias("a"), F.max("_h").alias("b")).filter("a < b").select("doc_id")
+    order = Window.partitionBy("doc_id").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    texts = keyed.select("doc_id", "_h", "_n").join(several, "doc_id", "left_semi").groupBy("doc_id", "_h").agg(F.max("_n").alias("_n"))
+    bases = materialize(texts.select("doc_id", "_h", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("base")), "bases")  # of such texts only
+    return keyed.join(bases, ["doc_id", "_h"], "left").drop("_h", "_n").fillna(0, ["base"])
+
+
 def repeats(docs: DataFrame, most: int = 20_000) -> DataFrame:
-    """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, text).
+    """(doc_id, whole, spans): places of anchors that repeat over their whole reach, and other repeated spans, of docs (doc_id, base, text).
 
     ``most`` bounds the rows of a group that one task sorts; larger groups are
     parted first. It does not change the result.
@@ -431,16 +449,24 @@ def covered(n: int, whole: list[int] | None, spans: list[int] | None) -> np.ndar
 
 
 def _joined(docs: DataFrame) -> DataFrame:
-    """(row, found): each row of ``docs`` whole, so that its names cannot clash, and what repeats in it."""
-    found = repeats(docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("k"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
-    return rows.join(found.select(F.col("doc_id").alias("k"), F.struct("whole", "spans").alias("found")), "k", "left").drop("k")
+    """(row, base, found): each row of ``docs`` whole, so that its names cannot clash, and what repeats in its doc_id's texts."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = with_bases(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row))
+    found = repeats(rows.filter("doc_id is not null").select("doc_id", "base", "text"))
+    own = rows.select(F.col("doc_id").alias("k"), "base", "row")
+    return own.join(found.select(F.col("doc_id").alias("k"), F.struct("whole", "spans").alias("found")), "k", "left").drop("k")
 
 
 def _opened(batch: pa.RecordBatch) -> tuple[dict[str, pa.Array], list[tuple]]:
     """The columns of a batch's rows, and (whole, spans) of each."""
-    row = batch.column("row")
-    found = [(None, None) if f is None else (f["whole"], f["spans"]) for f in batch.column("found").to_pylist()]
+    row, found = batch.column("row"), []
+    sizes = pc.binary_length(row.field("text").cast(pa.binary())).to_pylist()
+    for f, base, size in zip(batch.column("found").to_pylist(), batch.column("base").to_pylist(), sizes, strict=True):
+        whole, spans = (f["whole"], f["spans"]) if f else (None, None)
+        if f and (base or (whole and max(whole) >= (size or 0)) or (spans and max(spans) > (size or 0))):  # of several texts, this one's
+            whole = [q - base for q in whole or () if 0 <= q - base < (size or 0)]
+            spans = [x - base for a, b in zip((spans or ())[::2], (spans or ())[1::2], strict=True) if a >= base and b - base <= (size or 0) for x in (a, b)]
+        found.append((whole, spans))
     return {row.type.field(i).name: row.field(i) for i in range(row.type.num_fields)}, found
 
 
@@ -448,8 +474,9 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each row of ``docs`` (doc_id, text).
 
     Null text counts as empty. Rows without doc_id are neither sources nor
-    changed. Rows that share doc_id should share their text. Other columns are
-    ignored.
+    changed. Rows that share doc_id and text are one document; different texts
+    of one doc_id stand one after another in it, in order of hash, and no match
+    crosses from one to the next. Other columns are ignored.
     """
 
     def make():

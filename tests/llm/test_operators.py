@@ -10,14 +10,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from brute import WORD, brute_base, brute_tiles
 from pyspark.sql import functions as F
 
 from orbitgrain.llm import decontamination, language_id, license_scan, lm_scoring, near_dedup, quality_rules, sentence_pieces, sharding, suffix_dedup, token_counts
 from orbitgrain.llm.common import key_crc
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
 def lower(t):
     return re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")
 
@@ -221,28 +219,6 @@ def test_op3(spark, sf, documents, edges, none):
 # 4 ------------------------------------------------------------------------
 
 
-def brute_tiles(a, b, least=3):
-    """Greedy string tiling by trying all pairs of places again for every tile."""
-    used_a, used_b, out = [x == 0 for x in a], [x == 0 for x in b], []
-    where = {}
-    for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
-    while True:
-        best, at = 0, None
-        for i in range(len(a)):
-            for j in where.get(a[i], ()):
-                k = 0
-                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k] and not used_a[i + k] and not used_b[j + k]:
-                    k += 1
-                if k > best:
-                    best, at = k, (i, j)
-        if best < least:
-            return out
-        out.append((*at, best))
-        for k in range(best):
-            used_a[at[0] + k] = used_b[at[1] + k] = True
-
-
 def test_op4_tiles_against_brute_force():
     import random
 
@@ -353,20 +329,6 @@ def test_op5_cache_does_not_matter(model):
 # 6 ------------------------------------------------------------------------
 
 
-def brute_base(text):
-    text = text or ""
-    words = WORD.findall(text)
-    windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-    times = Counter(windows)
-    cover = {i + k for i, w in enumerate(windows) if times[w] > 1 for k in range(5)}
-    seen, dup = set(), 0
-    for line in text.split("\n"):
-        if WORD.search(line):
-            dup += line in seen
-            seen.add(line)
-    return len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), dup, len(cover), len(words) < 10 or 100 * len(cover) > 20 * len(words)
-
-
 def test_op6_base(spark, sf, documents, edges, none):
     text = {r.doc_id: r.text for r in documents}
     for r in quality_rules.op6_quality_rules(spark, sf).collect():
@@ -434,6 +396,16 @@ def test_op7_given(spark, sf, documents):
     assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.op7_suffix_dedup(spark, sf).collect()} == want
 
 
+def test_op7_same_as_sql(spark, sf):
+    import duckdb
+
+    from orbitgrain.llm.registry import ORACLES
+
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    assert {tuple(r) for r in suffix_dedup.op7_suffix_dedup(spark, sf).collect()} == set(con.sql(ORACLES["op7_suffix_dedup"]).fetchall())
+
+
 @pytest.mark.parametrize("most", [2000, 3, 1])
 def test_op7_overlaps(spark, most, monkeypatch):
     import random
@@ -452,8 +424,8 @@ def test_op7_overlaps(spark, most, monkeypatch):
 
 
 def test_op7_edges(edges, none):
-    rows = [tuple(r) for r in edges.filter("doc_id <> 9").select("doc_id", "text").collect()]
-    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.repeated_bytes(edges.filter("doc_id <> 9")).collect()}
+    rows = {tuple(r) for r in edges.select("doc_id", "text").collect()}
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.repeated_bytes(edges).collect()}
     assert got == brute_repeats(rows)
     assert suffix_dedup.repeated_bytes(edges).count() == edges.count() and suffix_dedup.repeated_bytes(none).count() == 0
     cut = suffix_dedup.without_repeats(edges)
@@ -487,6 +459,25 @@ def test_op7_surroundings_of_two_different_bytes_differ():
     assert seen
 
 
+def test_op7_texts_that_share_a_doc_id(spark):
+    import random
+
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh \n") for _ in range(300)) for _ in range(4)]
+    texts = [(1, base[0]), (1, base[1] + base[0]), (1, base[0]), (1, None), (2, base[1]), (2, "x" + base[2]), (3, base[2] + base[3] + base[2])]
+    got = suffix_dedup.without_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    order = {r.text: r.h for r in spark.createDataFrame(texts, "doc_id long, text string").select("text", F.xxhash64("text").alias("h")).collect()}
+    seen, want = set(), {}
+    for i, t in sorted(set(texts), key=lambda x: (x[0], order[x[1]])):
+        raw = (t or "").encode()
+        gone = np.zeros(len(raw), bool)
+        for p in range(len(raw) - 99):
+            gone[p : p + 100] |= raw[p : p + 100] in seen
+            seen.add(raw[p : p + 100])
+        want[i, t] = "".join(c for c, g in zip(t or "", gone, strict=True) if not g)
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted((i, want[i, t]) for i, t in texts)
+
+
 def test_op7_near_copies_with_two_edits(spark):
     import random
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+
 import pytest
+from brute import brute_base, brute_tiles
 
 import corpus_pipeline
 from orbitgrain.llm import decontamination, near_dedup, quality_rules, sentence_pieces, suffix_dedup
@@ -24,12 +27,49 @@ def test_columns(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near dedup", "suffix dedup", "decontamination", "sentence pieces"]
 
 
+def alike_classes(texts, docs):
+    """The least doc_id of each text's class, by comparing all pairs of texts."""
+    weights = near_dedup.frequency_weights(*near_dedup.document_frequencies(docs))
+    bags = {}
+    for i, t in texts.items():
+        keys, counts, _ = near_dedup.shingles([t])
+        bags[i] = (keys, near_dedup.weigh(keys, counts, weights))
+    least = {i: i for i in texts}
+
+    def top(i):
+        while least[i] != i:
+            i = least[i]
+        return i
+
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if texts[a] == texts[b] or near_dedup.weighted_jaccard(bags[a], bags[b]) >= 0.8:
+            x, y = sorted((top(a), top(b)))
+            least[y] = x
+    return {i: top(i) for i in texts}
+
+
+def content_share(text, field):
+    """Share of the words in lines that the likeliest labelling, of all, calls content; texts of few lines only."""
+    x, sizes, _ = quality_rules.lines_of(text)
+    unary = x @ field.w
+    ways = itertools.product((1, 0), repeat=len(x))
+    best = max(ways, key=lambda y: sum(u * k for u, k in zip(unary, y, strict=True)) + sum(field.t[a, b] for a, b in itertools.pairwise(y)))
+    return sum(n for n, k in zip(sizes, best, strict=True) if k) / max(1, sizes.sum())
+
+
 def test_each_stage_on_its_input(spark, sf, stages):
     texts = [{r.doc_id: r.text for r in s.select("doc_id", "text").collect()} for s in stages[:-1]]
     field = quality_rules.train_field(stages[0], table(spark, sf, "labels"))
-    assert set(texts[1]) == {i for i, t in texts[0].items() if quality_rules.measure(t or "", field)[6]}
-    keep = {r.doc_id for r in near_dedup.near_duplicates(stages[1]).collect() if r.keep}
-    assert set(texts[2]) == keep
+    checked = 0
+    for i, t in texts[0].items():
+        base_failed = brute_base(t)[5]
+        assert not (base_failed and i in texts[1])
+        if not base_failed and len((t or "").split("\n")) <= 10:
+            checked += 1
+            assert (i in texts[1]) == (content_share(t, field) >= 0.5)
+    assert checked > 50
+    classes = alike_classes(texts[1], stages[1])
+    assert set(texts[2]) == set(classes.values())
     seen = set()
     for i in sorted(texts[2]):
         raw = texts[2][i].encode()
@@ -40,8 +80,17 @@ def test_each_stage_on_its_input(spark, sf, stages):
                 gone[p : p + 100] = [True] * 100
             seen.add(w)
         assert texts[3][i] == bytes(b for b, g in zip(raw, gone, strict=True) if not g).decode("utf-8", "ignore")
-    items = decontamination.TestSet([(r.item_id, r.text) for r in table(spark, sf, "benchmark").collect()])
-    assert set(texts[4]) == {i for i, t in texts[3].items() if all(c < 0.8 for _, c in items.coverage(t))}
+    items = {r.item_id: decontamination.words_of(r.text) for r in table(spark, sf, "benchmark").collect()}
+    leaky = set()
+    for i, t in texts[3].items():
+        words = decontamination.words_of(t)
+        own = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+        for w in items.values():
+            if any(tuple(w[k : k + 5]) in own for k in range(len(w) - 4)):
+                number = {x: k + 1 for k, x in enumerate(dict.fromkeys(w))}
+                if sum(n for *_, n in brute_tiles([number[x] for x in w], [number.get(x, 0) for x in words])) >= 0.8 * len(w):
+                    leaky.add(i)
+    assert set(texts[4]) == set(texts[3]) - leaky
     model = sentence_pieces.PieceModel(sentence_pieces.model_path())
     last = {r.doc_id: r for r in stages[5].collect()}
     assert set(last) == set(texts[4]) and all(model.decode(last[i].pieces) == t for i, t in texts[4].items())
