@@ -69,13 +69,14 @@ def test_op1_texts_are_a_distribution():
 
     def find(own):
         mix = [[255 * (w != b"b" and c.get(w, 0) > 0), 255 * (w == b"b"), *[0] * 6] for w in own]
-        return np.array([c.get(w, 0) for w in own]), np.log10([share.get(w, 1e-9) for w in own]), np.array(mix, np.uint8)
+        rows = [classes.number.get(w, len(classes.number)) for w in own]
+        return np.array([c.get(w, 0) for w in own]), np.log10([share.get(w, 1e-9) for w in own]), np.array(mix, np.uint8), np.arange(len(own), dtype=np.int32), np.array(rows)
 
     model = lm_scoring.TextModel(np.array([7, 3, 0, 0, 0, 0, 0, 0]), classes)
     model.learn(lm_scoring.streams_of(sample, find, np.ones(3, np.int64))[0])
     texts = [list(t) for t in itertools.product(c, repeat=4)]
-    s, spelled, mixes = lm_scoring.streams_of(texts, find, np.zeros(len(texts), np.int64))
-    score, fresh = model.score(s, spelled, mixes)
+    s, *about = lm_scoring.streams_of(texts, find, np.zeros(len(texts), np.int64))
+    score, fresh = model.score(s, *about)
     assert (10.0**score).sum() == pytest.approx(1.0, abs=1e-5) and np.allclose(score, fresh)
 
 
