@@ -10,11 +10,18 @@ from pyspark.sql import functions as F
 
 # The asset keys of the named profiles, in their order.
 PROFILES = {
-    "native": "B01_60m B02_10m B03_10m B04_10m B05_20m B06_20m B07_20m B08_10m B8A_20m B09_60m B11_20m B12_20m AOT_10m WVP_10m SCL_20m SNW_20m CLD_20m safe_manifest product_metadata granule_metadata datastrip_metadata inspire_metadata".split(),
-    "ndvi": "B04_10m B08_10m SCL_20m CLD_20m".split(),
-    "vegetation": "B03_10m B04_10m B05_20m B08_10m B8A_20m B11_20m SCL_20m CLD_20m".split(),
-    "metadata-only": [],
-}
+    "native": (
+        "B01_60m", "B02_10m", "B03_10m", "B04_10m", "B05_20m", "B06_20m", "B07_20m", "B08_10m", "B8A_20m", "B09_60m", "B11_20m", "B12_20m", "AOT_10m",
+        "WVP_10m", "SCL_20m", "SNW_20m", "CLD_20m", "safe_manifest", "product_metadata", "granule_metadata", "datastrip_metadata", "inspire_metadata",
+    ),
+    "ndvi": (
+        "B04_10m", "B08_10m", "SCL_20m", "CLD_20m",
+    ),
+    "vegetation": (
+        "B03_10m", "B04_10m", "B05_20m", "B08_10m", "B8A_20m", "B11_20m", "SCL_20m", "CLD_20m",
+    ),
+    "metadata-only": (),
+}
 
 # Error codes of an object store that mean a quota or throttling.
 THROTTLE_CODES = (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # The thirteen bands of a product and its root files.
-SAFE_BANDS = tuple("B01 B02 B03 B04 B05 B06 B07 B08 B8A B09 B10 B11 B12".split())
+SAFE_BANDS = ("B01", "B02", "B03", "B04", "B05", "B06", "B07", "B08", "B8A", "B09", "B10", "B11", "B12")
 ROOT_FILES = ("manifest.safe", "MTD_MSIL1C.xml")
 
 

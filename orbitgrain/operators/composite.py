@@ -122,10 +122,8 @@ def unfinished_tiles(pixels: DataFrame, finished: DataFrame) -> DataFrame:
     return pixels.select("tile_id").distinct().join(finished.select("tile_id").distinct(), "tile_id", "left_anti")
 
 
-def minimum_slice(pixels: DataFrame) -> DataFrame:
+def minimum_slice(pixels: DataFrame, keys=("cx", "cy")) -> DataFrame:
     """QAI-screened median of two bands and NDVI by cell."""
     clear = masks.qai_clear(F.col("qai"))
-    med = pixels.groupBy("cx", "cy").agg(*(F.median(F.when(clear, F.col(b) * 0.0001)).alias(b) for b in ("b04", "b08")))
+    med = pixels.groupBy(*keys).agg(*(F.median(F.when(clear, F.col(b) * 0.0001)).alias(b) for b in ("b04", "b08")))
     return med.withColumn("ndvi", masks.normalized_difference(F.col("b08"), F.col("b04")))
-
-

@@ -49,9 +49,7 @@ def round_sql(names=NAMES) -> str:
 WITH g AS (SELECT {MONTH}, cx, cy, median(CASE WHEN {QAI} THEN b04 * 0.0001e0 END) AS b04, median(CASE WHEN {QAI} THEN b08 * 0.0001e0 END) AS b08 FROM pixels_v GROUP BY 1, 2, 3)
 SELECT ym, cx, cy, round(b04, 6) AS b04, round(b08, 6) AS b08, round(CASE WHEN abs(b08 + b04) > 1e-12 THEN (b08 - b04) / (b08 + b04) END, 6) AS ndvi FROM g""")
 def _(v):
-    clear = m.qai_clear(F.col("qai"))
-    med = monthly(v("pixels_v")).groupBy("ym", "cx", "cy").agg(*(F.median(F.when(clear, F.col(b) * 0.0001)).alias(b) for b in ("b04", "b08")))
-    return rounded(med.withColumn("ndvi", m.normalized_difference(F.col("b08"), F.col("b04"))))
+    return rounded(composite.minimum_slice(monthly(v("pixels_v")), ("ym", "cx", "cy")))
 
 
 KEY = "item_id, n, cx, cy"
