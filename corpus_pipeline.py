@@ -7,12 +7,10 @@ columns of ``documents``.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from orbitgrain.llm import decontamination, near_dedup, quality_rules, sentence_pieces, suffix_dedup
-from orbitgrain.llm.common import table
+from orbitgrain.llm.common import discard, materialize, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,18 +47,18 @@ STAGES = [
     ("sentence pieces", encode_pieces),
 ]
 
-#: Sampling, sorting and decoding have no SQL form; the tests hold run() against a brute-force version.
+#: Learned labels, samples and classes of links have no SQL form; the tests hold each stage against a brute-force version of it, on what it was given.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each but the last written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/cuts").rstrip("/")
+    """All stages, each but the last written and read again; what a stage has read is deleted once its output is set down."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            path = f"{root}/stage-{uuid.uuid4().hex}"
-            docs.write.parquet(path)
-            docs = spark.read.schema(docs.schema).parquet(path)
+            docs = materialize(docs, "stage")
+            if before is not None:
+                discard(before)
+            before = docs
     return docs
