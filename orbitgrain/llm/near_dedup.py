@@ -321,6 +321,7 @@ def components(links: DataFrame) -> DataFrame:
         discard(old, ahead)
         labels, old = new.select("node", "component"), new
         if new.filter("moved").isEmpty():
+            discard(both)
             return labels
 
 
@@ -336,13 +337,14 @@ def _met(members: DataFrame, leaders: DataFrame) -> DataFrame:
     return met.select(F.least("id", "leader").alias("leader"), F.greatest("id", "leader").alias("node")).distinct()
 
 
-def _settle(spark: SparkSession, pairs: DataFrame, tried: DataFrame | None, links: list[DataFrame], texts: DataFrame, weights, threshold: float) -> DataFrame:
-    """Adds the links among ``pairs`` not ``tried`` to ``links``; returns all that are tried by now."""
+def _settle(pairs: DataFrame, tried: DataFrame | None, links: list[DataFrame], made: list[DataFrame], texts: DataFrame, weights, threshold: float) -> DataFrame:
+    """Adds the links among ``pairs`` not ``tried`` to ``links``, and tables to ``made``; returns all that are tried by now."""
     if tried is not None:
         pairs = pairs.join(tried, ["leader", "node"], "left_anti")
     pairs = materialize(pairs, "pairs")
     links.append(materialize(verify(pairs, texts, weights, threshold), "verified"))
-    drop_unused(spark)
+    made += [pairs, links[-1]]
+    drop_unused(pairs.sparkSession)
     return pairs if tried is None else tried.unionByName(pairs)
 
 
@@ -375,23 +377,26 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 3) ->
     texts = materialize(texts.dropDuplicates(["id", "text_key"]).select("id", "text"), "texts")
     drop_unused(spark)
 
-    open_, links, tried = members, [], None
+    open_, links, tried, made = members, [], None, [members, texts]
     for turn in range(rounds):
         leaders = open_.groupBy("bucket").agg(F.min("id").alias("leader")) if turn == 0 else _drawn(open_, turn)
-        tried = _settle(spark, _met(members, leaders), tried, links, texts, weights, threshold)
+        tried = _settle(_met(members, leaders), tried, links, made, texts, weights, threshold)
         linked = reduce(DataFrame.unionByName, links)
         either = linked.select("leader", F.col("node").alias("id")).union(linked.select(F.col("node").alias("leader"), F.col("leader").alias("id")))
         # a text stays open in a bucket unless it led there or is linked with one that did
         led = leaders.select("bucket", F.col("leader").alias("id"))
         taken = leaders.join(either, "leader").select("bucket", "id").distinct()
         open_ = materialize(open_.join(led, ["bucket", "id"], "left_anti").join(taken, ["bucket", "id"], "left_anti"), "open")
+        made.append(open_)
         if open_.isEmpty():
             break
     # a text taken by one leader may still be like one taken by another: all that links do not join so far is compared
     split = materialize(apart(members, reduce(DataFrame.unionByName, links)), "split")
     links.append(materialize(joining_links(split, texts, weights, threshold), "joining"))
+    made += [split, links[-1]]
     drop_unused(spark)
     classes = components(reduce(DataFrame.unionByName, links).select(F.col("leader").alias("a"), F.col("node").alias("b")))
+    discard(*made)
     of_text = unique.select("text_key", "id").join(classes.select(F.col("node").alias("id"), "component"), "id", "left").select("text_key", F.coalesce("component", "id").alias("class_id"))
     out = rows.select("doc_id", "text_key").join(of_text, "text_key")
     return out.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("keep"))
