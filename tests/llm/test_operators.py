@@ -723,3 +723,30 @@ def test_op10_wide_alphabets_stay_small():
     parser = language_id.CrossParser({k: t[:20_000].encode() for k, t in texts.items()}, {k: t[20_000:].encode() for k, t in texts.items()})
     assert sum(codes.nbytes + steps.nbytes for codes, steps in parser.tables) < 200_000_000
     assert [p[0] for p in parser.predict([texts[k][22_000:] for k in ("zh", "ko", "en")])] == ["zh", "ko", "en"]
+
+
+# all ----------------------------------------------------------------------
+
+
+def test_megabytes_in_a_word_and_in_a_text(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    word, text = "x" * 1_000_000, "the cat " * 125_000
+    docs = spark.createDataFrame([(1, word, "en"), (2, text, "en"), (3, "a short text", "de")], "doc_id long, text string, lang string").repartition(3)
+    rows = lambda df: {r.doc_id: r for r in df.collect()}
+    assert rows(sharding.documents_to_shards(docs))[1].size == 1_000_001
+    got = rows(license_scan.scan(docs, license_scan.inverse_frequencies(docs)))
+    assert (got[1].n_words, got[2].n_words, got[2].labels) == (1, 250_000, "")
+    items = spark.createDataFrame([(7, "the cat " * 20)], "item_id long, text string")
+    assert [rows(decontamination.leaks(docs, decontamination.test_sets(items)))[i].item_ids for i in (1, 2, 3)] == [[], [7], []]
+    assert all(r.lossless for r in sentence_pieces.encode(docs, sentence_pieces.model_path()).collect())
+    got = rows(quality_rules.judge(docs, quality_rules.PRIOR))
+    assert (got[1].n_words, got[1].word_chars, got[2].n_repeat_words) == (1, 1_000_000, 250_000)
+    got = rows(suffix_dedup.repeated_bytes(docs))
+    assert [got[i].n_removed for i in (1, 2, 3)] == [999_999, 999_992, 0]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    assert {i: r.n_tokens for i, r in rows(token_counts.count_tokens(docs, path)).items()} == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in ((1, word), (2, text), (3, "a short text"))}
+    assert {i: r.class_id for i, r in rows(near_dedup.near_duplicates(docs)).items()} == {1: 1, 2: 2, 3: 3}
+    assert set(rows(language_id.predict(docs, language_id.train(docs)))) == {1, 2, 3}
