@@ -78,14 +78,14 @@ def drop_unused(spark: SparkSession) -> None:
 
 
 def least_hashed(rows: DataFrame, most: int, longest: int = 100_000) -> DataFrame:
-    """(text) of at most ``most`` different texts of ``rows`` of 1 to ``longest`` characters, those with the least hash.
+    """(text) of at most ``most`` rows (doc_id, text), those with the least hash of doc_id, equal texts once; only texts of 1 to ``longest`` characters.
 
-    Only hashes are sorted; texts are read a second time for the chosen ones.
+    Hashes are ranked without their texts, which are read for the chosen rows.
     """
-    some = rows.filter(f"length(text) between 1 and {longest}").select("text", F.xxhash64("text").alias("h"))
-    last = some.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    some = rows.filter(f"length(text) between 1 and {longest}").select("text", F.xxhash64("doc_id").alias("h"))
+    last = rows.select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     chosen = some.filter(F.col("h") <= last) if last is not None else some.limit(0)
-    return chosen.groupBy("h").agg(F.first("text").alias("text")).select("text")
+    return chosen.select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(most)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
