@@ -47,6 +47,12 @@ def map_texts(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared folder of the session."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/cuts"
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     """Cut the lineage with a table in the shared folder of the session.
 
@@ -54,11 +60,9 @@ def materialize(df: DataFrame, label: str = "cut") -> DataFrame:
     runs) a folder below the warehouse is used. Shuffle files of what led
     here are no longer referenced afterwards.
     """
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/cuts"
-    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.cut_at = path
     return out
 

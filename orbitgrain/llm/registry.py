@@ -12,8 +12,9 @@ from orbitgrain.llm.sentence_pieces import op5_sentence_pieces
 from orbitgrain.llm.sharding import op2_sharding
 from orbitgrain.llm.suffix_dedup import op7_suffix_dedup
 from orbitgrain.llm.token_counts import op8_token_counts
+from orbitgrain.llm.token_files import op12_token_files
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id, op12_token_files)}
 
 #: Bytes as pairs of hexadecimal digits: windows of 100 bytes are 200 digits.
 OP7 = """
