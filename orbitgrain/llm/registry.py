@@ -7,6 +7,7 @@ from orbitgrain.llm.language_id import op10_language_id
 from orbitgrain.llm.license_scan import op3_license_scan
 from orbitgrain.llm.lm_scoring import op1_lm_scoring
 from orbitgrain.llm.near_dedup import op9_near_dedup
+from orbitgrain.llm.periodic_runs import op11_periodic_runs
 from orbitgrain.llm.quality_rules import op6_quality_rules
 from orbitgrain.llm.sentence_pieces import op5_sentence_pieces
 from orbitgrain.llm.sharding import op2_sharding
@@ -14,7 +15,7 @@ from orbitgrain.llm.suffix_dedup import op7_suffix_dedup
 from orbitgrain.llm.token_counts import op8_token_counts
 from orbitgrain.llm.token_files import op12_token_files
 
-QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id, op12_token_files)}
+QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_sharding, op3_license_scan, op4_decontamination, op5_sentence_pieces, op6_quality_rules, op7_suffix_dedup, op8_token_counts, op9_near_dedup, op10_language_id, op11_periodic_runs, op12_token_files)}
 
 #: Bytes as pairs of hexadecimal digits: windows of 100 bytes are 200 digits.
 OP7 = """
