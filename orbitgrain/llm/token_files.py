@@ -266,7 +266,7 @@ class ByteLevelEncoder:
     and what follows up to the next one. Where a space stands beside other
     white space, units are found by pattern instead, and a text with a special
     string goes to the library whole. ``cache_bytes`` bounds what the cache
-    holds (it is emptied when full); units of over ``longest`` characters are
+    holds (the half not met of late goes when it is full); units of over ``longest`` characters are
     not kept. A file with a normalizer or another pre-tokenizer is refused.
     """
 
@@ -284,17 +284,19 @@ class ByteLevelEncoder:
         self.tok.no_padding()
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self.tok.token_to_id("\u010a")
-        self.bare, self.after, self.held, self.cache_bytes, self.longest = {}, {}, 0, cache_bytes, longest
+        # units that begin a text and units after a space; what the young half has not met since it was begun goes with the old one
+        self.young, self.old, self.held, self.cache_bytes, self.longest = ({}, {}), ({}, {}), 0, cache_bytes, longest
 
-    def _learn(self, units: set[str], known: dict[str, bytes], before: str) -> dict[str, bytes]:
-        """Ids of units, each with ``before`` in front of it, from the library.
+    def _learn(self, units: set[str], after: bool) -> dict[str, bytes]:
+        """Ids of units that the young half of the cache lacks, from the old half or the library.
 
         Units without white space go in one text, parted by line ends: the
         pattern makes each line end a pre-token of its own there, and its id
         stands for no part of another.
         """
-        plain = [u for u in units if u.split() == [u]]
-        new = {}
+        before, old = " " if after else "", self.old[after]
+        new = {u: old[u] for u in units if u in old}
+        plain = [u for u in units if u not in new and u.split() == [u]]
         for i in range(0, len(plain), 1000):
             some = plain[i : i + 1000]
             ids = np.array(self._ids([before + f"\n{before}".join(some)])[0], "<u4")
@@ -302,13 +304,11 @@ class ByteLevelEncoder:
             new.update(zip(some, (raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)), strict=True))
         odd = list(units.difference(new))
         new.update(zip(odd, (np.array(x, "<u4").tobytes() for x in self._ids([before + u for u in odd])), strict=True))
-        if self.held > self.cache_bytes:
-            self.bare.clear()
-            self.after.clear()
-            self.held = 0
+        if self.held > self.cache_bytes // 2:
+            self.old, self.young, self.held = self.young, ({}, {}), 0
         for u, x in new.items():
             if len(u) <= self.longest:
-                known[u] = x
+                self.young[after][u] = x
                 self.held += 180 + len(u) + len(x)
         return new
 
@@ -325,10 +325,11 @@ class ByteLevelEncoder:
             first.append([head] if units is None else units)
             rest.append(tail)
         got = []
-        for lists, known, before in ((first, self.bare, ""), (rest, self.after, " ")):
+        for lists, after in ((first, False), (rest, True)):
+            known = self.young[after]
             ids = [list(map(known.get, units)) for units in lists]
             missed = {u for units, x in zip(lists, ids, strict=True) if None in x for u, y in zip(units, x, strict=True) if y is None}
-            new = self._learn(missed, known, before) if missed else {}
+            new = self._learn(missed, after) if missed else {}
             got.append([[new[u] if y is None else y for u, y in zip(units, x, strict=True)] if None in x else x for units, x in zip(lists, ids, strict=True)])
         out = [np.frombuffer(b"".join(a + b), "<u4") for a, b in zip(*got, strict=True)]
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32) if w else x for t, w, x in zip(texts, whole, out, strict=True)]
@@ -342,6 +343,17 @@ class ByteLevelEncoder:
         return out
 
 
+#: One a worker process and file: ids of units are properties of the file.
+_ENCODERS: dict[str, ByteLevelEncoder] = {}
+
+
+def worker_encoder(path: str) -> ByteLevelEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = ByteLevelEncoder(path)
+    return _ENCODERS[path]
+
+
 def vocabulary_of(path: str) -> int:
     """Ids of the tokenizer file at ``path``, added ones included."""
     from tokenizers import Tokenizer
@@ -354,5 +366,5 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    manifest = write_ids(table(spark, sf_dir, "documents"), scratch_folder(spark, "ids"), lambda: ByteLevelEncoder(path), vocabulary_of(path), end_id=0)
+    manifest = write_ids(table(spark, sf_dir, "documents"), scratch_folder(spark, "ids"), lambda: worker_encoder(path), vocabulary_of(path), end_id=0)
     return read_documents(manifest)
