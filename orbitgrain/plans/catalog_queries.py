@@ -9,6 +9,7 @@ from orbitgrain.functions import predicates as p
 from orbitgrain.functions import scalars as s
 from orbitgrain.operators import audit, catalog, grid, selection, state, upserts
 from orbitgrain.plans.registry import at, q
+from orbitgrain.streaming import jobs
 
 BOX = (7000000, 46000000, 7600000, 46500000)
 SEVEN = ("B03_10m", "B04_10m", "B05_20m", "B08_10m", "B8A_20m", "B11_20m", "SCL_20m")
@@ -557,6 +558,41 @@ def _(v):
     return state.fold_attempts(v("attempts_v")).select("item_id", "status", "attempts", ts("next_attempt_at"), "last_event")
 
 
+#: State of jobs and their three assets (status and attempts, null before they are known), one event of every item a turn.
+JOB_STATES = f"""
+WITH RECURSIVE e AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY event_id) AS nth, CAST(asset_key[2] AS INT) + 1 AS k FROM job_events_v),
+s(item_id, nth, last_event, status, attempts, due, sa, na) AS (
+ SELECT DISTINCT item_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), 'queued', 0, CAST(NULL AS TIMESTAMP), CAST([NULL, NULL, NULL] AS VARCHAR[]), CAST([0, 0, 0] AS INT[]) FROM e
+ UNION ALL
+ SELECT item_id, nth, event_id,
+  CASE WHEN reg AND status = 'completed' THEN 'queued' WHEN cl THEN 'processing' WHEN rs OR (hit AND kind = 'interrupted') THEN 'queued' WHEN bad AND over THEN CASE kind WHEN 'error' THEN 'failed' ELSE 'retired' END WHEN bad THEN 'retry_wait'
+   WHEN hit AND kind = 'completed' AND len(list_filter(sb, lambda x: x <> 'completed')) = 0 THEN 'completed' ELSE status END,
+  CASE WHEN bad THEN attempts + 1 ELSE attempts END,
+  CASE WHEN cl OR (hit AND kind = 'interrupted') OR (bad AND over) THEN NULL WHEN bad THEN ts + to_microseconds(CAST(1e6 * CASE kind WHEN 'throttled' THEN coalesce(retry_after, 900) ELSE least(3600, 60 * pow(2, attempts)) END AS BIGINT)) ELSE due END, sb,
+  CASE WHEN bad THEN list_transform(na, lambda x, i: x + CASE WHEN i = k THEN 1 ELSE 0 END) ELSE na END
+ FROM (SELECT *, CASE WHEN rs THEN list_transform(sa, lambda x: CASE WHEN x = 'processing' THEN 'queued' ELSE x END)
+   WHEN reg OR hit THEN list_transform(sa, lambda x, i: CASE WHEN i <> k THEN x WHEN reg OR kind = 'interrupted' THEN 'queued' WHEN kind = 'completed' OR (kind = 'start' AND x = 'completed') THEN 'completed' WHEN kind = 'start' THEN 'processing' WHEN kind = 'throttled' AND over THEN 'retired' ELSE 'retry_wait' END) ELSE sa END AS sb
+  FROM (SELECT *, live AND kind = 'asset' AND coalesce(k > 0 AND sa[k] IS NULL, FALSE) AS reg, live AND coalesce(kind = 'claim', FALSE) AND status IN ('queued', 'retry_wait') AS cl, coalesce(kind = 'restart', FALSE) AND status = 'processing' AS rs,
+    status = 'processing' AND coalesce(sa[k] IS NOT NULL AND kind IN ('start', 'completed', 'interrupted', 'error', 'throttled'), FALSE) AS hit, status = 'processing' AND coalesce(sa[k] IS NOT NULL AND kind IN ('error', 'throttled'), FALSE) AS bad, attempts + 1 >= 5 AS over
+   FROM (SELECT e.item_id, e.nth, e.event_id, e.ts, coalesce(e.kind, '') AS kind, e.k, e.retry_after, s.status, s.attempts, s.due, s.sa, s.na, s.status NOT IN ('failed', 'retired') AS live FROM s JOIN e ON e.item_id = s.item_id AND e.nth = s.nth + 1) x) y) z),
+f AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY nth DESC) = 1)"""
+
+
+@q("t04_job_assets", f"""{JOB_STATES},
+a AS (SELECT item_id, last_event, unnest(['a0', 'a1', 'a2']) AS asset_key, unnest(sa) AS status, unnest(na) AS attempts FROM f)
+SELECT item_id, NULL AS asset_key, status, attempts, {at("due")} AS next_attempt_at, last_event FROM f UNION ALL SELECT item_id, asset_key, status, attempts, NULL, last_event FROM a WHERE status IS NOT NULL""")
+def _(v):
+    return jobs.fold_job_events(v("job_events_v")).select("item_id", "asset_key", "status", "attempts", ts("next_attempt_at"), "last_event")
+
+
+@q("t05_due_retries", f"""{JOB_STATES}
+SELECT item_id, attempts, {at("due")} AS next_attempt_at FROM f WHERE status = 'retry_wait' AND due <= (SELECT max(ts) FROM job_events_v)""")
+def _(v):
+    events = v("job_events_v")
+    now = events.agg(F.max("ts")).first()[0]
+    return jobs.due_retries(jobs.fold_job_events(events), F.lit(now)).select("item_id", "attempts", ts("next_attempt_at"))
+
+
 @q("t06_window_status", """
 WITH w AS (SELECT CAST((epoch_us(item_datetime) - epoch_us(TIMESTAMP '1992-01-01')) // (7 * 86400000000) AS INT) AS "window", status FROM jobs_v WHERE item_datetime >= TIMESTAMP '1992-01-01'),
 c AS (SELECT "window", count(*) FILTER (status IN ('queued', 'processing', 'retry_wait')) AS active, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'retired') AS retired FROM w GROUP BY 1)

@@ -47,6 +47,11 @@ FROM {lineitem}""",
     "attempts_v": """
 SELECT user_id AS item_id, event_id, CAST(ts AS timestamp) AS ts,
   CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'error' WHEN 'signup' THEN 'throttled' ELSE 'queued' END AS outcome, CAST(JSONK(props) AS double) AS retry_after
+FROM {events}""",
+    "job_events_v": """
+SELECT user_id AS item_id, event_id, CAST(ts AS timestamp) AS ts, CASE WHEN event_id % 29 = 0 THEN NULL ELSE 'a' || CAST(event_id % 3 AS varchar(20)) END AS asset_key,
+  CASE WHEN event_id % 11 < 2 THEN 'asset' WHEN event_type IN ('view', 'signup') AND event_id % 7 <> 0 THEN 'claim' WHEN event_type = 'click' THEN 'start' WHEN event_type = 'purchase' THEN 'completed'
+   WHEN event_type = 'error' THEN CASE event_id % 4 WHEN 0 THEN 'error' WHEN 1 THEN 'throttled' WHEN 2 THEN 'interrupted' ELSE 'restart' END END AS kind, CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(JSONK(props) AS double) END AS retry_after
 FROM {events}""",
     "jobs_v": """
 SELECT o_orderkey AS item_id, CAST(o_orderdate AS timestamp) AS item_datetime,
@@ -67,6 +72,8 @@ def with_views(sql: str) -> str:
     used = [n for n in VIEWS if re.search(rf"\b{n}\b", sql)]
     heads = [f"{n} AS ({re.sub(r'\{(\w+)\}', r'\1', VIEWS[n]).replace('JSONK(props)', "json_extract_string(props, '$.k')")})" for n in used]
     body = sql.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {', '.join([*heads, body[15:]])}" if heads else body
     if body.upper().startswith("WITH "):
         return f"WITH {', '.join([*heads, body[5:]])}" if heads else body
     return f"WITH {', '.join(heads)} {body}" if heads else body
