@@ -11,7 +11,7 @@ from orbitgrain.plans.pixel_queries import NAMES, QAI, index_sql, later, round_s
 from orbitgrain.plans.registry import at, q
 from orbitgrain.session import scratch_path
 from orbitgrain.sources import sinks, stac
-from orbitgrain.streaming import ingest
+from orbitgrain.streaming import commits, ingest
 
 
 @q("s01_stac_items", """
@@ -164,6 +164,60 @@ def _(v):
     return ingest.read_latest(items.sparkSession, path, ["item_id"]).select("item_id", "href", "batch_id", "status")
 
 
+@q("t09_changed_sources", """
+SELECT item_id, CASE WHEN item_id % 5 = 0 OR coalesce(n, 0) > 0 THEN 'queued' ELSE 'completed' END AS status, CASE WHEN item_id % 5 <> 0 AND n > 0 THEN 'a source changed' END AS last_error, coalesce(n, 0) AS queued_assets
+FROM items_v LEFT JOIN (SELECT item_id, count(*) FILTER (item_id % 3 = 0 AND asset_key LIKE '%10m') AS n FROM assets_v GROUP BY 1) a USING (item_id)""")
+def _(v):
+    items, own = v("items_v"), v("assets_v").select("item_id", "asset_key", "href", "local_path")
+    spark, path = items.sparkSession, scratch_path(items.sparkSession, "sources")
+    assets, jobs = (commits.KeyedTable(spark, f"{path}/{name}", schema, "item_id", 8) for name, schema in (("assets", commits.ASSETS), ("jobs", commits.JOBS)))
+    step = commits.requeue_changed(assets, jobs)
+    seen = items.select("item_id", F.col("acquired").alias("item_datetime")).join(own, "item_id", "left").withColumns({"requested_assets": F.array(F.lit("a"), F.lit("b")), "missing_assets": F.array().cast("array<string>")})
+    step(seen, 0)
+    for t in (assets, jobs):  # all is fetched
+        t.apply(t.read().select("item_id").distinct(), 1, lambda old, new: old.withColumn("status", F.lit("completed")))
+    moved = seen.withColumn("href", F.when((F.col("item_id") % 3 == 0) & F.col("asset_key").like("%10m"), F.concat("href", F.lit("?v=2"))).otherwise(F.col("href")))
+    moved = moved.withColumn("requested_assets", F.when(F.col("item_id") % 5 == 0, F.array(F.lit("c"))).otherwise(F.col("requested_assets")))
+    for _ in range(2):  # the batch comes twice
+        step(moved, 2)
+    queued = assets.read().groupBy("item_id").agg(F.count_if(F.col("status") == "queued").alias("queued_assets"))
+    return jobs.read().join(queued, "item_id", "left").select("item_id", "status", "last_error", F.coalesce("queued_assets", F.lit(0)).alias("queued_assets"))
+
+
+@q("t06_logged_backfill", f"""
+WITH w AS (SELECT CAST((epoch_us(item_datetime) - epoch_us(TIMESTAMP '1995-01-01')) // (30 * 86400000000) AS INT) AS n, count(*) AS jobs FROM jobs_v WHERE item_datetime >= TIMESTAMP '1995-01-01' AND item_datetime < TIMESTAMP '1995-06-30' GROUP BY 1)
+SELECT {at("TIMESTAMP '1995-01-01' + to_days(CAST(30 * n AS INT))")} AS first, jobs FROM w""")
+def _(v):
+    from datetime import datetime
+
+    jobs = v("jobs_v")
+    spark, path = jobs.sparkSession, scratch_path(jobs.sparkSession, "backfill")
+
+    def process(a, b):
+        rows = jobs.filter(p.in_time_range("item_datetime", a, b, half_open=True)).agg(F.count(F.lit(1)).alias("jobs")).withColumn("first", F.lit(a).cast("timestamp"))
+        rows.write.mode("overwrite").parquet(f"{path}/out/window={a:%Y%m%d}")
+        return True
+
+    plan = (spark, f"{path}/log", datetime(1995, 1, 1), datetime(1995, 6, 30), 30)
+    calls = []
+    commits.Backfill(*plan).run(lambda a, b: len(calls) < 2 and not calls.append(a) and process(a, b))  # stops after two windows
+    commits.Backfill(*plan).run(process)
+    return spark.read.parquet(f"{path}/out").filter("jobs > 0").select(ts("first"), "jobs")
+
+
+@q("t10_resumed_tiles", "SELECT tile_id, count(*) AS pixels, CAST(sum(b04) AS BIGINT) AS b04, CASE WHEN tile_id % 2 = 0 THEN 'reused' ELSE 'made' END AS run FROM pixels_v GROUP BY 1, 4")
+def _(v):
+    px = v("pixels_v")
+    spark, path = px.sparkSession, scratch_path(px.sparkSession, "tiles")
+    log = commits.CommitLog(spark, f"{path}/log", "tile_id long, at timestamp")
+
+    def product(run):
+        return lambda source: source.groupBy("tile_id").agg(F.count(F.lit(1)).alias("pixels"), F.sum("b04").alias("b04")).withColumn("run", F.lit(run))
+
+    commits.resume_tiles(px.filter("tile_id % 2 = 0"), log, f"{path}/out", product("reused"))
+    return commits.resume_tiles(px, log, f"{path}/out", product("made"))
+
+
 KEYS = ", ".join(f"('{k}', {i})" for i, k in enumerate(SEVEN))
 
 
