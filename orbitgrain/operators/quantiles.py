@@ -6,28 +6,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: list[float], bins: int = 1024) -> DataFrame:
+def exact_quantiles(rows: DataFrame, keys: list[str], value: str, shares: list[float], accuracy: int = 10_000) -> DataFrame:
     """(keys, q): the quantiles of ``value`` at ``shares`` as an array, interpolated between neighbours; nulls do not count.
 
-    Values are first counted in equal bins of each group's range, then those of
-    the bins where a wanted rank falls are counted one by one. All counting is
-    combined before its shuffle, and windows run over bins, or over one bin's
-    different values. ``rows`` is read three times: set it down first if it is
-    costly. A group without values has no row; values are finite.
+    A sketch of each group, combined before its shuffle, brackets every wanted
+    rank between two values with about 10 / ``accuracy`` of the group's rows in
+    between, however the values are spread; a group of at most ``accuracy`` rows
+    is one bracket. Rows below a bracket are counted,
+    those inside by value; a window runs over a bracket's different values.
+    That the bracket holds the rank is checked, so a result is exact or an
+    error. ``rows`` is read three times: set it down first if it is costly.
+    Keys may be null and have any name; a group without values has no row;
+    values are no NaN.
     """
-    some = rows.select(*keys, F.col(value).cast("double").alias("v")).filter("v is not null")
-    ends = some.groupBy(*keys).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count(F.lit(1)).alias("n"))
-    place = F.when(F.col("hi") > F.col("lo"), F.least(F.lit(bins - 1), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins))).otherwise(0)
-    binned = some.join(ends, keys).select(*keys, "v", place.cast("int").alias("bin"))
-    order = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = binned.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("m")).withColumn("through", F.sum("m").over(order))
-    wanted = F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(float(s)) * (F.col("n") - 1)).alias("at")) for i, s in enumerate(shares)))
-    ranks = ends.select(*keys, F.explode(wanted).alias("w")).select(*keys, "w.i", "w.at", F.explode(F.array(F.floor("w.at"), F.ceil("w.at"))).alias("rank"))
-    found = ranks.join(counts, keys).filter((F.col("rank") < F.col("through")) & (F.col("rank") >= F.col("through") - F.col("m")))
-    found = found.select(*keys, "bin", "i", "at", "rank", (F.col("rank") - F.col("through") + F.col("m")).alias("nth")).distinct()
-    inside = binned.join(found.select(*keys, "bin").distinct(), [*keys, "bin"], "left_semi").groupBy(*keys, "bin", "v").agg(F.count(F.lit(1)).alias("k"))
-    up = Window.partitionBy(*keys, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = inside.withColumn("through", F.sum("k").over(up)).join(found, [*keys, "bin"]).filter((F.col("nth") < F.col("through")) & (F.col("nth") >= F.col("through") - F.col("k")))
-    part = F.first("at") - F.floor(F.first("at"))
-    each = values.groupBy(*keys, "i").agg((F.min("v") * (1 - part) + F.max("v") * part).alias("q"))
-    return each.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda s: s["q"]).alias("q"))
+    named = {k: f"_key{i}" for i, k in enumerate(keys)}
+    own = list(named.values())
+    some = rows.select(*(F.col(f"`{k}`").alias(n) for k, n in named.items()), F.col(f"`{value}`").cast("double").alias("_v")).filter("_v is not null")
+    margin, top = 5.0 / accuracy, float("inf")
+    ends = [(max(0.0, s - margin), min(1.0, s + margin)) for s in shares]
+    sketch = some.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", [p for pair in ends for p in pair], accuracy).alias("_cut"))
+    small = F.col("_n") <= accuracy  # a group of so few values is a bracket by itself
+    bracket = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("i"), (F.lit(float(s)) * (F.col("_n") - 1)).alias("at"),
+                F.when(small | F.lit(low == 0), -top).otherwise(F.get("_cut", F.lit(2 * i))).alias("low"), F.when(small | F.lit(high == 1), top).otherwise(F.get("_cut", F.lit(2 * i + 1))).alias("high"),
+            )
+            for i, (s, (low, high)) in enumerate(zip(shares, ends, strict=True))
+        )
+    )
+    groups = sketch.select(*(F.col(n).alias(f"_g{n}") for n in own), bracket.alias("_b"))
+    same = F.lit(True)
+    for n in own:
+        same = same & F.col(n).eqNullSafe(F.col(f"_g{n}"))
+    met = some.join(groups, same) if own else some.crossJoin(F.broadcast(groups))  # one row: the whole table is the group
+    below = met.groupBy(*own).agg(F.array(*(F.count_if(F.col("_v") < F.col("_b")[i]["low"]) for i in range(len(shares)))).alias("_below"), F.first("_b").alias("_b"))
+    wanted = below.select(*own, F.explode(F.zip_with("_b", "_below", lambda b, n: F.struct(b["i"].alias("i"), b["at"].alias("at"), n.alias("below")))).alias("_w")).select(*own, "_w.*")
+    within = F.filter("_b", lambda b: (F.col("_v") >= b["low"]) & (F.col("_v") <= b["high"]))
+    inside = met.select(*own, "_v", F.explode(F.transform(within, lambda b: b["i"])).alias("i")).groupBy(*own, "i", "_v").agg(F.count(F.lit(1)).alias("_m"))
+    up = Window.partitionBy(*own, "i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = inside.withColumn("_through", F.sum("_m").over(up))
+    w = wanted.withColumnsRenamed({n: f"_w{n}" for n in own} | {"i": "_i"})
+    hit = F.col("i") == F.col("_i")
+    for n in own:
+        hit = hit & F.col(n).eqNullSafe(F.col(f"_w{n}"))
+    both = placed.join(w, hit)
+    first = F.col("below") + F.col("_through") - F.col("_m")  # the rank of the value's first row
+    last = F.col("below") + F.col("_through") - 1
+    holds = lambda rank: F.col("_v") * F.when((rank >= first) & (rank <= last), 1.0)
+    each = both.groupBy(*own, "i").agg(F.max(holds(F.floor("at"))).alias("_lo"), F.max(holds(F.ceil("at"))).alias("_hi"), F.first("at").alias("at"))
+    part = F.col("at") - F.floor("at")
+    sure = F.when(F.col("_lo").isNotNull() & F.col("_hi").isNotNull(), F.col("_lo") * (1 - part) + F.col("_hi") * part).otherwise(F.raise_error("a sketch missed a rank").cast("double"))
+    found = each.select(*own, "i", sure.alias("q")).groupBy(*own).agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda s: s["q"]).alias("q"))
+    return found.select(*(F.col(n).alias(k) for k, n in named.items()), "q")
