@@ -82,14 +82,19 @@ def drop_unused(spark: SparkSession) -> None:
 
 
 def least_hashed(rows: DataFrame, most: int, longest: int = 100_000) -> DataFrame:
-    """(text) of at most ``most`` rows (doc_id, text), those with the least hash of doc_id, equal texts once; only texts of 1 to ``longest`` characters.
+    """(text) of at most ``most`` rows (doc_id, text) with a text, those with the least hash of doc_id, equal texts once.
 
-    Hashes are ranked without their texts, which are read for the chosen rows.
+    Of a text of over ``longest`` characters the whole words among so many stand
+    for it, from a place that its doc_id's hash tells. Hashes are ranked without their texts, which
+    are read for the chosen rows.
     """
-    some = rows.filter(f"length(text) between 1 and {longest}").select("text", F.xxhash64("doc_id").alias("h"))
-    last = rows.select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    some = rows.filter("length(text) > 0").select("text", F.xxhash64("doc_id").alias("h"))
+    last = some.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
     chosen = some.filter(F.col("h") <= last) if last is not None else some.limit(0)
-    return chosen.select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(most)
+    spare = F.length("text") - longest
+    slice_ = F.substring("text", F.pmod("h", F.greatest(spare, F.lit(1))).cast("int") + 1, F.lit(longest))
+    part = F.when(spare > 0, F.regexp_extract(slice_, r"(?s)^\S*+(\s.*)\s\S*+$", 1)).otherwise(F.col("text"))
+    return chosen.select(part.alias("text")).filter("length(text) > 0").distinct().orderBy(F.xxhash64("text"), "text").limit(most)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -134,6 +134,20 @@ def test_op1_very_long_words(spark):
     assert held[1].n_known == 1 and held[1].score < -1000
 
 
+def test_op1_learns_from_long_texts_alone(spark):
+    import random
+
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 7))) for _ in range(300)]
+    texts = [" ".join(words[min(rng.randrange(300), rng.randrange(300))] for _ in range(25_000)) for _ in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert min(map(len, texts)) > 100_000
+    sample = [r.text for r in lm_scoring.least_hashed(docs, 10).collect()]
+    assert len(sample) == 4 and all(99_980 < len(t) < 100_000 and any(t in x for x in texts) for t in sample)
+    held = lm_scoring.score_texts(docs, F.col("doc_id") == 0).filter("doc_id = 0").first()
+    assert held.score > 1.03 * held.base_score  # words drawn one by one: nothing beats their shares, and untrained mixers lose 7 %
+
+
 # 2 ------------------------------------------------------------------------
 
 
