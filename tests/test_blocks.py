@@ -104,7 +104,7 @@ def test_halo_moves_edges_only(spark):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_clipped_blocks_equal_clipped_pixels(spark, seed):
-    rng, width, res = random.Random(seed), 8, 10.0
+    rng, width, res = random.Random(seed), 3, 10.0
     cells = {(x, y): float(x * 1000 + y) for x in range(-16, 48) for y in range(-16, 48)}
     outer = [(-100.0, -90.0), (rng.uniform(100, 470), -150.0), (430.0, rng.uniform(100, 400)), (200.0, 455.0), (rng.uniform(-140, 0), 300.0), (-40.0, 80.0)]
     hole = [(120.0, 120.0), (220.0, 120.0), (220.0, 240.0), (120.0, 240.0)]
