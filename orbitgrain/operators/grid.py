@@ -223,3 +223,46 @@ def clip(cells: DataFrame, roi: DataFrame, resolution: float) -> DataFrame:
     inside = inside_polygon((F.col("cx") + 0.5) * resolution, y, F.col("_edges"))
     return cells.join(by_row, "cy").filter(inside).select(*cells.columns)
 
+
+
+def spatial_join_levels(regions: DataFrame, footprints: DataFrame, cell: float, levels: int = 24) -> DataFrame:
+    """Pairs (region_id, item_id) whose boxes meet, for boxes of any size.
+
+    A box is covered by the few cells of the level that is as wide as itself (a
+    quadtree, ``cell`` at its finest), so none gives more than nine. The
+    smaller box of a pair looks for the larger one under its cells' ancestors,
+    of which there are at most ``levels``; levels that the other side does not
+    have are left out. A pair is kept in the one cell that holds the lower left
+    corner of its overlap. Boxes with a null side meet nothing; one wider than
+    the widest level has more cells of that level.
+    """
+    sides = ("west", "south", "east", "north")
+
+    def covered(df: DataFrame, key: str) -> DataFrame:
+        boxes = df.select(key, *(F.col(c).cast("double").alias(c) for c in sides)).filter("west <= east and south <= north")
+        width = F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"), F.lit(cell))
+        level = F.least(F.ceil(F.log2(width / cell)), F.lit(levels - 1)).cast("int")
+        size = F.lit(cell) * F.pow(F.lit(2.0), F.col("level"))
+        span = lambda a, b: F.sequence(F.floor(F.col(a) / size).cast("long"), F.floor(F.col(b) / size).cast("long"))
+        return boxes.withColumn("level", level).withColumn("gx", F.explode(span("west", "east"))).withColumn("gy", F.explode(span("south", "north")))
+
+    def raised(cells: DataFrame, other: DataFrame, strictly: bool) -> DataFrame:
+        """Cells' ancestors on the levels that the other side has; a box has each but once."""
+        there = F.broadcast(other.select(F.col("level").alias("up")).distinct())  # at most ``levels`` rows
+        above = cells.join(there, F.col("up") > F.col("level") if strictly else F.col("up") >= F.col("level"))
+        steps = F.col("up") - F.col("level")
+        parent = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), steps)).cast("long")
+        return above.select(*(c for c in cells.columns if c not in ("level", "gx", "gy")), F.col("up").alias("level"), parent("gx").alias("gx"), parent("gy").alias("gy")).distinct()
+
+    r, f = covered(regions, "region_id"), covered(footprints, "item_id")
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        a, b = a.alias("r"), b.alias("f")
+        same = (F.col("r.level") == F.col("f.level")) & (F.col("r.gx") == F.col("f.gx")) & (F.col("r.gy") == F.col("f.gy"))
+        meet = (F.col("f.east") >= F.col("r.west")) & (F.col("f.west") <= F.col("r.east")) & (F.col("f.north") >= F.col("r.south")) & (F.col("f.south") <= F.col("r.north"))
+        size = F.lit(cell) * F.pow(F.lit(2.0), F.col("r.level"))
+        home = (F.floor(F.greatest("r.west", "f.west") / size) == F.col("r.gx")) & (F.floor(F.greatest("r.south", "f.south") / size) == F.col("r.gy"))
+        return a.join(b, same).filter(meet & home).select("region_id", "item_id")
+
+    # the region is at least as coarse, or the footprint is coarser
+    return met(r, raised(f, r, strictly=False)).unionByName(met(raised(r, f, strictly=True), f))

@@ -243,6 +243,16 @@ def _(v):
     return grid.spatial_join(regions, v("items_v"), 250_000.0).groupBy("region_id").agg(F.count(F.lit(1)).alias("n"), F.sum("item_id").alias("ids"))
 
 
+@q("j11_levels", """
+WITH r AS (SELECT s_suppkey AS region_id, 5960000 + (s_suppkey * 7919 % 4000) * 1000 AS west, 45820000 + (s_suppkey * 104729 % 1800) * 1000 AS south, 1000 * (1 << CAST(s_suppkey % 13 AS INT)) AS width FROM supplier)
+SELECT region_id, count(*) AS n, CAST(sum(item_id) AS BIGINT) AS ids FROM r JOIN items_v i ON i.east >= r.west AND i.west <= r.west + width AND i.north >= r.south AND i.south <= r.south + width GROUP BY 1""")
+def _(v):
+    sid = F.col("s_suppkey")
+    regions = v("supplier").select(sid.alias("region_id"), (5960000 + (sid * 7919 % 4000) * 1000).alias("west"), (45820000 + (sid * 104729 % 1800) * 1000).alias("south"), (1000 * F.pow(F.lit(2), sid % 13)).cast("long").alias("width"))
+    regions = regions.withColumns({"east": F.col("west") + F.col("width"), "north": F.col("south") + F.col("width")})
+    return grid.spatial_join_levels(regions, v("items_v"), 10_000.0).groupBy("region_id").agg(F.count(F.lit(1)).alias("n"), F.sum("item_id").alias("ids"))
+
+
 @q("j13_product_grid", """
 WITH g AS (SELECT s, m FROM (SELECT unnest(['l2a', 'boa', 'orbit', 'none']) AS s) a CROSS JOIN (SELECT unnest([6, 7, 8]) AS m) b),
 n AS (SELECT source, month(acquired) AS m, count(DISTINCT year(acquired)) AS k FROM pixels_v GROUP BY 1, 2)

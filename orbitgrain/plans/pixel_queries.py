@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orbitgrain.functions import masks as m
+from orbitgrain.operators import blocks as tiled
 from orbitgrain.operators import compare, composite, grid
 from orbitgrain.plans.registry import q
 
@@ -443,6 +444,40 @@ def _(v):
     return cells.select("item_id", "cx", "cy", F.round(F.col("b04").cast("double"), 3).alias("b04"))
 
 
+FLOAT_CELLS = "c AS (SELECT cx, cy, CAST(CAST(avg(b04) AS FLOAT) AS DOUBLE) AS v FROM pixels_v GROUP BY 1, 2)"
+
+
+def cells_of(blocks: DataFrame, width: int, *keys: str) -> DataFrame:
+    """Cells with a value of b04."""
+    cells = composite.blocks_to_pixels(blocks, width, ("b04",)).filter("b04 is not null and not isnan(b04)")
+    return cells.select(*keys, "cx", "cy", F.round(F.col("b04").cast("double"), 3).alias("b04"))
+
+
+@q("r03_block_bilinear", f"""
+WITH {FLOAT_CELLS}, t AS (SELECT DISTINCT cx // 4 * 8 + x AS cx, cy // 4 * 8 + y AS cy FROM c, range(8) a(x), range(8) b(y)),
+u AS (SELECT cx, cy, (cx + 0.5e0) / 2 - 0.5e0 AS x, (cy + 0.5e0) / 2 - 0.5e0 AS y FROM t),
+w AS (SELECT u.cx, u.cy, (1 - abs(u.x - c.cx)) * (1 - abs(u.y - c.cy)) AS w, v FROM u JOIN c ON abs(u.x - c.cx) < 1 AND abs(u.y - c.cy) < 1)
+SELECT cx, cy, round(sum(w * v) / sum(w), 3) AS b04 FROM w GROUP BY 1, 2""")
+def _(v):
+    blocks = composite.pixels_to_blocks(v("pixels_v"), (), 4, ("b04",))
+    return cells_of(tiled.resample_blocks(blocks, 4, 2, "b04"), 8)
+
+
+@q("r02_block_nearest", f"WITH {FLOAT_CELLS} SELECT cx * 3 + x AS cx, cy * 3 + y AS cy, round(v, 3) AS b04 FROM c, range(3) a(x), range(3) b(y)")
+def _(v):
+    blocks = composite.pixels_to_blocks(v("pixels_v"), (), 4, ("b04",))
+    return cells_of(tiled.resample_blocks(blocks, 4, 3, "b04", "nearest"), 12)
+
+
+@q("j12_block_cutline", "SELECT item_id, cx, cy, round(CAST(CAST(avg(b04) AS FLOAT) AS DOUBLE), 3) AS b04 FROM pixels_v WHERE abs((cx + 0.5) * 20 - 200) / 200 + abs((cy + 0.5) * 20 - 100) / 100 <= 1 GROUP BY 1, 2, 3")
+def _(v):
+    px = v("pixels_v")
+    corners = [(0.0, 100.0), (200.0, 200.0), (400.0, 100.0), (200.0, 0.0)]
+    outline = px.sparkSession.createDataFrame([(*a, *b) for a, b in zip(corners, corners[1:] + corners[:1], strict=True)], "x1 double, y1 double, x2 double, y2 double")
+    blocks = composite.pixels_to_blocks(px, width=2, bands=("b04",))
+    return cells_of(tiled.clip_blocks(blocks, outline, 2, 20.0, ("b04",)), 2, "item_id")
+
+
 @q("x04_block_median", f"WITH f AS (SELECT source, item_id, cx, cy, {', '.join(f'CAST(avg({b}) AS FLOAT) AS {b}' for b in NAMES)} FROM pixels_v GROUP BY 1, 2, 3, 4) SELECT source, cx, cy, {', '.join(f'round(CAST(median({b}) AS DOUBLE), 2) AS {b}' for b in NAMES)} FROM f GROUP BY 1, 2, 3")
 def _(v):
     blocks = composite.pixels_to_blocks(v("pixels_v"), ("source", "item_id"), 4)

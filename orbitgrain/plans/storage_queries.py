@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orbitgrain.functions import predicates as p
-from orbitgrain.operators import catalog, composite, selection, state
+from orbitgrain.operators import blocks as tiled
+from orbitgrain.operators import catalog, composite, inventories, selection, state
 from orbitgrain.plans.catalog_queries import SEVEN, attempt_states, ts
-from orbitgrain.plans.pixel_queries import NAMES, QAI, index_sql, later, round_sql, rounded, screened
+from orbitgrain.plans.pixel_queries import cells_of, NAMES, QAI, index_sql, later, round_sql, rounded, screened
 from orbitgrain.plans.registry import at, q
 from orbitgrain.session import scratch_path
 from orbitgrain.sources import sinks, stac
@@ -218,6 +219,29 @@ def _(v):
     return commits.resume_tiles(px, log, f"{path}/out", product("made"))
 
 
+@q("p14_window_blocks", "SELECT item_id, cx, cy, round(CAST(CAST(avg(b04) AS FLOAT) AS DOUBLE), 3) AS b04 FROM pixels_v WHERE cx BETWEEN 4 AND 11 AND cy BETWEEN 2 AND 5 GROUP BY 1, 2, 3")
+def _(v):
+    px = v("pixels_v")
+    path = scratch_path(px.sparkSession, "morton")
+    tiled.write_blocks(composite.pixels_to_blocks(px, width=2, bands=("b04",)), path)
+    return cells_of(tiled.read_window(px.sparkSession, path, 2, 1, 5, 2), 2, "item_id")
+
+
+@q("j15_hash_tree", """
+WITH f AS (SELECT strftime(acquired, '%Y-%m') AS month, strftime(acquired, '%d') AS day, 'p' || item_id % 3 AS product, 'f/' || item_id || '/' || asset_key AS path, item_id, day(acquired) AS d, month(acquired) AS m FROM assets_v JOIN items_v USING (item_id)),
+k AS (SELECT *, CASE WHEN m = 3 AND d < 9 THEN CASE item_id % 7 WHEN 0 THEN 'missing' WHEN 1 THEN 'extra' WHEN 2 THEN 'size' WHEN 3 THEN 'hash' ELSE 'ok' END ELSE 'ok' END AS class FROM f)
+SELECT month, day, product, path, class FROM k WHERE (month, day, product) IN (SELECT (month, day, product) FROM k WHERE class <> 'ok')""")
+def _(v):
+    files = v("assets_v").select("item_id", "asset_key", "bytes").join(v("items_v").select("item_id", "acquired"), "item_id")
+    files = files.select("item_id", F.date_format("acquired", "yyyy-MM").alias("month"), F.date_format("acquired", "dd").alias("day"), F.concat(F.lit("p"), (F.col("item_id") % 3).cast("string")).alias("product"), F.concat_ws("/", F.lit("f"), F.col("item_id").cast("string"), "asset_key").alias("path"), F.col("bytes").alias("size"), F.lit("h").alias("sha256"), ((F.month("acquired") == 3) & (F.dayofmonth("acquired") < 9)).alias("hit"))
+    k = F.when(F.col("hit"), F.col("item_id") % 7).otherwise(F.lit(6))
+    path = scratch_path(files.sparkSession, "inventories")
+    present = files.filter(k != 0).withColumns({"size": F.col("size") + F.when(k == 2, 1).otherwise(0), "sha256": F.when(k == 3, "g").otherwise("h")})
+    for name, rows in (("expected", files.filter(k != 1)), ("present", present)):
+        inventories.write_inventory(rows.drop("item_id", "hit"), f"{path}/{name}")
+    return inventories.reconcile_inventories(files.sparkSession, f"{path}/expected", f"{path}/present")
+
+
 KEYS = ", ".join(f"('{k}', {i})" for i, k in enumerate(SEVEN))
 
 
