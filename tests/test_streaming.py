@@ -81,3 +81,18 @@ def test_backfill_resumes():
     assert windows.run_backfill(plan, cursor, lambda a, b: True) == plan[-1][1]
     with pytest.raises(ValueError):
         windows.run_backfill(plan, None, lambda a, b: True, start=datetime(2023, 1, 1))
+
+
+def test_follow_without_what_the_bootstrap_left(spark, tmp_path):
+    """The stream after the bootstrap takes nothing that the bootstrap has set aside, and each item once."""
+    first = [(i, i % 3, datetime(2024, 1, 1) + timedelta(hours=i), 100.0) for i in range(12)]
+    items = spark.createDataFrame(first, "item_id long, tile_id long, acquired timestamp, area double")
+    chosen = items.groupBy("tile_id").agg(F.max(F.struct("acquired", "item_id")).alias("r")).select("tile_id", "r.item_id")
+    ignored = str(tmp_path / "ignored")
+    items.join(chosen, "item_id", "left_anti").select("item_id").write.parquet(ignored)
+    src, got = str(tmp_path / "in"), []
+    later = [(i, i % 3, datetime(2024, 1, 2) + timedelta(hours=i), 100.0) for i in (20, 21, 20)]
+    spark.createDataFrame(first + later, items.schema).coalesce(1).write.parquet(src)
+    stream = ingest.without_ignored(ingest.new_items(ingest.stream_of(spark, src, items.schema)), spark.read.parquet(ignored))
+    ingest.run_available(stream, str(tmp_path / "cp"), lambda b, _: got.extend(r.item_id for r in b.collect()))
+    assert sorted(got) == [9, 10, 11, 20, 21]
