@@ -32,20 +32,19 @@ def step(state: Column, event: Column, max_attempts: int, base: float, longest:
 def fold_attempts(events: DataFrame, max_attempts: int = 5, base: float = 60.0, longest: float = 3600.0) -> DataFrame:
     """T04, T05 in batch: the state of each item after its attempts in order of event_id.
 
-    An item's attempts end at its last allowed one, so only as many bad
-    attempts as allowed, and the first success, can matter: rows after that are
-    cut by a window before the group is brought together.
+    Of an item's events only so many bad ones as attempts are allowed, its
+    first success and its last neutral one can show in its state. The first
+    are ranked with a limit that holds before the shuffle too, the others are
+    combined, so an item with very many events brings few rows together.
     """
     from pyspark.sql import Window
 
-    earlier = Window.partitionBy("item_id").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
-    bad = F.col("outcome").isin("error", "throttled")
-    live = events.withColumns({"_bad": F.count_if(bad).over(earlier), "_done": F.count_if(F.col("outcome") == "completed").over(earlier), "_prev": F.max(F.when(~bad & (F.col("outcome") != "completed"), F.col("event_id"))).over(Window.partitionBy("item_id"))})
-    # of the neutral events only an item's last one before its end can show in the state
-    live = live.filter((F.col("_bad") < max_attempts) & (F.col("_done") == 0))
-    neutral = ~bad & (F.col("outcome") != "completed")
-    live = live.withColumn("_next", F.lead("event_id").over(Window.partitionBy("item_id").orderBy("event_id"))).withColumn("_keep", ~neutral | F.col("_next").isNull())
-    rows = live.filter("_keep").groupBy("item_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "ts", "outcome", "retry_after"))).alias("e"))
+    bad, done = F.coalesce(F.col("outcome"), F.lit("")).isin("error", "throttled"), F.coalesce(F.col("outcome"), F.lit("")) == "completed"
+    event = F.struct("event_id", "ts", "outcome", "retry_after")
+    first = Window.partitionBy("item_id").orderBy("event_id")
+    failures = events.filter(bad).withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") <= max_attempts).select("item_id", event.alias("e"))
+    others = events.filter(~bad).groupBy("item_id").agg(F.array_compact(F.array(F.min(F.when(done, event)), F.max(F.when(~done, event)))).alias("e")).select("item_id", F.explode("e").alias("e"))
+    rows = failures.unionByName(others).groupBy("item_id").agg(F.array_sort(F.collect_list("e")).alias("e"))
     start = F.struct(F.lit("queued").alias("status"), F.lit(0).alias("attempts"), F.lit(None).cast("timestamp").alias("next_attempt_at"), F.lit(None).cast("bigint").alias("last_event"))
     final = F.aggregate("e", start, lambda s, e: step(s, e, max_attempts, base, longest))
     return rows.select("item_id", final.alias("s")).select("item_id", "s.*")

@@ -31,6 +31,15 @@ def test_batch_fold(attempts):
     assert got == want
 
 
+def test_batch_fold_limits_rows_before_the_shuffle(spark, attempts):
+    plan = state.fold_attempts(attempts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "partial_max" in plan
+    hot = spark.range(20_000).select(F.lit(1).cast("long").alias("item_id"), F.col("id").alias("event_id"), F.timestamp_seconds("id").alias("ts"), F.when(F.col("id") % 9000 == 8999, "error").otherwise("queued").alias("outcome"), F.lit(None).cast("double").alias("retry_after"))
+    row = state.fold_attempts(hot).first()
+    assert (row.status, row.attempts, row.last_event) == ("queued", 2, 19_999)
+    assert state.fold_attempts(hot, max_attempts=2).first()[1:3] == ("failed", 2) and state.fold_attempts(hot.limit(0)).count() == 0
+
+
 def test_stream_equals_batch(spark, attempts, tmp_path):
     src = str(tmp_path / "in")
     for k in range(3):  # in order of event_id, as attempts arrive
