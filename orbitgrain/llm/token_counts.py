@@ -9,6 +9,7 @@ whole, since special strings are cut out before pre-tokenisation.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 
 import pyarrow as pa
@@ -25,11 +26,23 @@ PLAIN = regex.compile("[\\x00-\\x1b\\x20-ɏ]*")
 
 
 class PreTokenizer:
-    """Splits as the tokenizer file at ``path`` does; one per worker."""
+    """Splits as the tokenizer file at ``path`` does; one per worker.
+
+    A file whose normalizer and splitter are others than those the fast way
+    copies is refused, since it would be counted wrongly.
+    """
+
+    #: Kinds of normalizers and splitters that the fast way stands for.
+    NORMAL, SPLIT = ["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        normal, split = (made.get("normalizer") or {}).get("normalizers", []), (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        if [n["type"] for n in normal] != self.NORMAL or [p["type"] for p in split] != self.SPLIT or split[0]["pattern"] != {"Regex": PRE_TOKEN.pattern} or made["model"].get("dropout"):
+            raise ValueError("not a tokenizer of lower-cased words")
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
@@ -77,21 +90,22 @@ def frequent_pretokens(docs: DataFrame, path: str, size: int = 65_536, sample: i
     return dict(zip(words, PreTokenizer(path).lengths(words), strict=True))
 
 
-def count_tokens(docs: DataFrame, path: str, frequent: dict[str, int] | None = None, cache_entries: int = 500_000) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str, frequent: dict[str, int] | None = None, cache_entries: int = 500_000, cache_chars: int = 16_000_000) -> DataFrame:
     """(doc_id, n_bytes, n_tokens) of every row of ``docs`` (doc_id, text).
 
     Null text counts as empty (0 tokens); repeated rows are counted each;
-    ``path`` is the tokenizer file, ``cache_entries`` bounds a worker's cache
-    (it is emptied when full). Other columns are ignored.
+    ``path`` is the tokenizer file, ``cache_entries`` and ``cache_chars`` bound a
+    worker's cache (it is emptied when full). Other columns are ignored.
     """
     spark = docs.sparkSession
     tier_one = spark.sparkContext.broadcast(frequent_pretokens(docs, path) if frequent is None else frequent)
 
     def make():
         _single_thread()
-        pre, known, cache = PreTokenizer(path), tier_one.value, {}
+        pre, known, cache, held = PreTokenizer(path), tier_one.value, {}, 0
 
         def step(batch):
+            nonlocal held
             texts = texts_of(batch)
             counts = [0] * len(texts)
             for i, text in enumerate(texts):
@@ -101,9 +115,12 @@ def count_tokens(docs: DataFrame, path: str, frequent: dict[str, int] | None = N
                     continue
                 missed = {w for w in words if w not in known and w not in cache}
                 if missed:
-                    if len(cache) + len(missed) > cache_entries:
+                    more = sum(map(len, missed))
+                    if len(cache) + len(missed) > cache_entries or held + more > cache_chars:
                         cache.clear()
                         missed = {w for w in words if w not in known}
+                        held, more = 0, sum(map(len, missed))
+                    held += more
                     missed = list(missed)
                     cache.update(zip(missed, pre.lengths(missed), strict=True))
                 counts[i] = sum(known[w] if w in known else cache[w] for w in words)

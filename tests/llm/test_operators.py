@@ -535,7 +535,9 @@ def test_op8_same_as_the_library(spark, sf, documents, edges, none):
         n = len(tok.encode(text[r.doc_id], add_special_tokens=False).ids)
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text[r.doc_id].encode()), n, n > 2048)
     odd = {r.doc_id: r.text or "" for r in edges.collect()}
-    for r in token_counts.count_tokens(edges, path, frequent={}, cache_entries=2).collect():
+    with pytest.raises(ValueError):
+        token_counts.PreTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in token_counts.count_tokens(edges, path, frequent={}, cache_entries=2).unionByName(token_counts.count_tokens(edges, path, frequent={}, cache_chars=30)).collect():
         assert r.n_tokens == len(tok.encode(odd[r.doc_id], add_special_tokens=False).ids)
     assert token_counts.count_tokens(none, path).count() == 0
 
