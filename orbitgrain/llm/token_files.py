@@ -61,8 +61,10 @@ def unpack(data: bytes, n: int, bits: int, first: int = 0) -> np.ndarray:
 
 
 def open_folder(path: str):
+    """File system and place of a URI; Hadoop's names of S3 are taken too."""
     from pyarrow import fs
 
+    path = re.sub("^s3[an]:", "s3:", path)
     return fs.FileSystem.from_uri(path if re.match(r"[a-z0-9+]+://|file:/", path) else "file://" + path)
 
 
