@@ -129,10 +129,10 @@ def difference_statistics(pairs: DataFrame, cells: int | Column) -> DataFrame:
 
 
 def observation_counts(masks: DataFrame, grid: DataFrame) -> DataFrame:
-    """Clear looks of each cell of the grid (cx, cy) and source; 0 where there is none."""
+    """Clear looks of each cell of the grid (cx, cy) and source; 0 where there is none. A null source has no row."""
     clear = masks.groupBy("source", "cx", "cy").agg(F.count_if(~F.col("route_invalid")).alias("clear"))
-    sources = masks.select("source").distinct()
-    every = grid.withColumn("source", F.explode(F.array(*(F.lit(r.source) for r in sources.orderBy("source").collect()))))  # a handful of sources
+    sources = masks.agg(F.array_sort(F.collect_set("source")).alias("_sources"))  # one row with a handful of names
+    every = grid.crossJoin(F.broadcast(sources)).select("*", F.explode("_sources").alias("source")).drop("_sources")
     return every.join(clear, ["source", "cx", "cy"], "left").fillna(0, ["clear"])
 
 
