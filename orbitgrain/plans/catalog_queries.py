@@ -240,7 +240,7 @@ def _(v):
     sid = F.col("s_suppkey")
     regions = v("supplier").select(sid.alias("region_id"), (5960000 + (sid * 7919 % 4000) * 1000).alias("west"), (45820000 + (sid * 104729 % 1800) * 1000).alias("south"))
     regions = regions.withColumns({"east": F.col("west") + 50000, "north": F.col("south") + 50000})
-    return grid.spatial_join(regions, v("items_v"), 250_000.0).groupBy("region_id").agg(F.count(F.lit(1)).alias("n"), F.sum("item_id").alias("ids"))
+    return grid.spatial_totals(regions, v("items_v"), 250_000.0)
 
 
 @q("j11_levels", """
@@ -250,7 +250,7 @@ def _(v):
     sid = F.col("s_suppkey")
     regions = v("supplier").select(sid.alias("region_id"), (5960000 + (sid * 7919 % 4000) * 1000).alias("west"), (45820000 + (sid * 104729 % 1800) * 1000).alias("south"), (1000 * F.pow(F.lit(2), sid % 13)).cast("long").alias("width"))
     regions = regions.withColumns({"east": F.col("west") + F.col("width"), "north": F.col("south") + F.col("width")})
-    return grid.spatial_join_levels(regions, v("items_v"), 10_000.0).groupBy("region_id").agg(F.count(F.lit(1)).alias("n"), F.sum("item_id").alias("ids"))
+    return grid.spatial_totals(regions, v("items_v"), 10_000.0, grid.spatial_join_levels)
 
 
 @q("j13_product_grid", """

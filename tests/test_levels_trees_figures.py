@@ -34,6 +34,18 @@ def test_boxes_of_any_size(spark):
     assert grid.spatial_join_levels(r.limit(0), f, 1.0).count() == 0
 
 
+def test_totals_of_many_copies_of_a_box(spark):
+    """Six billion pairs, of nine classes of boxes."""
+    at = lambda k, w: ((F.col("id") % 3 * k).cast("double").alias("west"), F.lit(0.0).alias("south"), (F.col("id") % 3 * k + w).cast("double").alias("east"), F.lit(float(w)).alias("north"))
+    r, f = spark.range(30_000).select(F.col("id").alias("region_id"), *at(10, 5)), spark.range(300_000).select(F.col("id").alias("item_id"), *at(7, 4))
+    of = {j: (100_000, sum(range(j, 300_000, 3))) for j in range(3)}
+    want = {i: tuple(map(sum, zip(*(of[j] for j in range(3) if 7 * j <= 10 * i + 5 and 10 * i <= 7 * j + 4), strict=True))) for i in range(3)}
+    for join in (grid.spatial_join, grid.spatial_join_levels):
+        got = grid.spatial_totals(r, f, 2.0, join).collect()
+        assert len(got) == 20_000 and not want[2]  # the third class meets nothing
+        assert all((x.n, x.ids) == want[x.region_id % 3] for x in got)
+
+
 def files(changed=()):
     rows = []
     for m in range(1, 7):
