@@ -65,14 +65,17 @@ def blocks_to_pixels(blocks: DataFrame, width: int = 512, bands=BANDS) -> DataFr
 def pixels_to_blocks(pixels: DataFrame, keys=("item_id",), width: int = 16, bands=BANDS) -> DataFrame:
     """Inverse of :func:`blocks_to_pixels`; cells without a row are null.
 
-    Every block brings a row without values for each of its cells, so the work
-    follows the number of cells whatever the width.
+    Only cells with a row are grouped and shuffled; nulls are put between them
+    once a block's cells are together.
     """
-    at = {"bx": F.floor(F.col("cx") / width).cast("int"), "by": F.floor(F.col("cy") / width).cast("int"), "i": (F.col("cy") % width * width + F.col("cx") % width).cast("int")}
+    at = {"bx": F.floor(F.col("cx") / width).cast("int"), "by": F.floor(F.col("cy") / width).cast("int"), "i": (F.pmod(F.col("cy"), F.lit(width)) * width + F.pmod(F.col("cx"), F.lit(width))).cast("int")}
     rows = pixels.withColumns(at).select(*keys, "bx", "by", "i", *bands)
-    empty = rows.select(*keys, "bx", "by").distinct().withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(width * width - 1))))
-    cells = rows.unionByName(empty, allowMissingColumns=True).groupBy(*keys, "bx", "by", "i").agg(*(F.avg(b).cast("float").alias(b) for b in bands))
-    blocks = cells.groupBy(*keys, "bx", "by").agg(F.array_sort(F.collect_list(F.struct("i", *bands))).alias("cells"))
+    cells = rows.groupBy(*keys, "bx", "by", "i").agg(*(F.avg(b).cast("float").alias(b) for b in bands))
+    some = cells.groupBy(*keys, "bx", "by").agg(F.array_sort(F.collect_list(F.struct("i", *bands))).alias("cells"))
+    place = lambda k: F.coalesce(F.get(F.col("cells"), k)["i"], F.when(k < 0, F.lit(-1)).otherwise(F.lit(width * width)))
+    gap = lambda k: F.array_repeat(F.lit(None).cast(some.schema["cells"].dataType.elementType), place(k) - place(k - 1) - 1)
+    whole = F.concat(F.flatten(F.transform("cells", lambda c, k: F.concat(gap(k), F.array(c)))), gap(F.size("cells")))
+    blocks = some.withColumn("cells", whole)
     return blocks.select(*keys, "bx", "by", *(F.col("cells").getField(b).alias(b) for b in bands))
 
 
