@@ -68,10 +68,12 @@ def morton_ranges(x0: int, y0: int, x1: int, y1: int, most: int = 32) -> list[tu
 def write_blocks(blocks: DataFrame, path: str, row_group_bytes: int = 8 << 20) -> None:
     """Blocks in Morton order, so that what lies close together is in few row groups, whose statistics tell their place.
 
-    Blocks outside the curve's numbers are kept, with a null place.
+    Blocks outside the curve's numbers are kept, with a null place. Many blocks
+    of one place (looks) are dealt to several tasks.
     """
     placed = blocks.withColumn("morton", morton(F.col("bx"), F.col("by")))
-    placed.repartitionByRange("morton").sortWithinPartitions("morton").write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
+    names = [c for c, kind in blocks.dtypes if not kind.startswith("array")]
+    placed.repartitionByRange("morton", F.xxhash64(*names)).sortWithinPartitions("morton").write.mode("overwrite").option("parquet.block.size", row_group_bytes).parquet(path)
 
 
 def read_window(spark: SparkSession, path: str, x0: int, y0: int, x1: int, y1: int, most: int = 32) -> DataFrame:
@@ -206,9 +208,11 @@ def clip_blocks(blocks: DataFrame, edges: DataFrame, width: int, resolution: flo
     """Blocks with the cells whose centre is outside the outline as null; blocks wholly outside are dropped, those wholly inside pass as they are."""
     from orbitgrain.operators.grid import inside_polygon
 
-    met = blocks.join(outline_blocks(edges, width, resolution).withColumnsRenamed({"bx": "_bx", "by": "_by", "edges": "_edges"}), (F.col("bx") == F.col("_bx")) & (F.col("by") == F.col("_by"))).drop("_bx", "_by")
-    x = lambda i: (F.col("bx") * width + i % width + 0.5) * resolution
-    y = lambda i: (F.col("by") * width + F.floor(i / width) + 0.5) * resolution
+    outline = outline_blocks(edges, width, resolution).withColumnsRenamed({"bx": "_bx", "by": "_by", "edges": "_edges"})
+    x = lambda i: (F.col("_bx") * width + i % width + 0.5) * resolution
+    y = lambda i: (F.col("_by") * width + F.floor(i / width) + 0.5) * resolution
+    # cells are tested once a place, not once a look
     keep = F.when(F.col("_edges").isNotNull(), F.transform(F.sequence(F.lit(0), F.lit(width * width - 1)), lambda i: inside_polygon(x(i), y(i), F.col("_edges"))))
-    cut = met.withColumn("_keep", keep)
-    return cut.select(*(F.when(F.col("_edges").isNull() | F.col(c).isNull(), F.col(c)).otherwise(F.zip_with(c, "_keep", lambda v, k: F.when(k, v))).alias(c) if c in bands else F.col(c) for c in blocks.columns))
+    places = outline.groupBy("_bx", "_by").agg(F.first("_edges").alias("_edges")).select("_bx", "_by", keep.alias("_keep"))
+    cut = blocks.join(places, (F.col("bx") == F.col("_bx")) & (F.col("by") == F.col("_by")))
+    return cut.select(*(F.when(F.col("_keep").isNull() | F.col(c).isNull(), F.col(c)).otherwise(F.zip_with(c, "_keep", lambda v, k: F.when(k, v))).alias(c) if c in bands else F.col(c) for c in blocks.columns))

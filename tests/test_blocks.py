@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from orbitgrain.operators import blocks, grid
+from orbitgrain.operators import blocks, composite, grid
 
 EDGE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
@@ -117,3 +117,48 @@ def test_clipped_blocks_equal_clipped_pixels(spark, seed):
     assert got == {(r.cx, r.cy): r.v for r in grid.clip(pixels, roi, res).collect()}
     kinds = blocks.outline_blocks(outline, width, res).collect()
     assert len({(r.bx, r.by) for r in kinds}) == len(kinds) and any(r.edges is None for r in kinds)
+
+
+def plan_of(df, kind="executedPlan"):
+    return getattr(df._jdf.queryExecution(), kind)().toString()
+
+
+def test_blocks_from_cells_alone(spark):
+    """Cells are grouped as they are, without rows for those that are not there, and may lie below 0."""
+    cells = [(9, x, y, float(100 * x + y)) for x in (-5, -4, -1, 0, 3, 6) for y in (-3, 0, 7)]
+    df = spark.createDataFrame(cells, "item_id long, cx long, cy long, v double").withColumn("w", F.when(F.col("cx") > 0, F.col("v")))
+    made = composite.pixels_to_blocks(df, width=4, bands=("v", "w"))
+    assert "Generate" not in plan_of(made)
+    want = {}
+    for _, x, y, v in cells:
+        want.setdefault((x // 4, y // 4), [None] * 16)[y % 4 * 4 + x % 4] = v
+    got = made.collect()
+    assert {(r.bx, r.by): r.v for r in got} == want
+    assert all(r.w == [v if r.bx * 4 + i % 4 > 0 else None for i, v in enumerate(r.v)] for r in got)
+
+
+def test_looks_of_one_place_are_dealt(spark, tmp_path):
+    looks = spark.range(4000).select(F.col("id").alias("item_id"), F.lit(0).alias("bx"), F.lit(0).alias("by"), F.array(F.rand(1), F.rand(2)).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        blocks.write_blocks(looks, str(tmp_path / "looks"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    per_file = spark.read.parquet(str(tmp_path / "looks")).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per_file) == 4000 and max(r["count"] for r in per_file) < 2000
+
+
+def test_outline_is_tested_before_looks_meet_it(spark):
+    looks = spark.range(10).select(F.col("id").alias("item_id"), F.lit(0).alias("bx"), F.lit(0).alias("by"), F.array(*map(F.lit, [1.0, 2.0, 3.0, 4.0])).alias("v"))
+    outline = spark.createDataFrame([(0.0, 0.0, 2.0, 0.0), (2.0, 0.0, 0.0, 1.9), (0.0, 1.9, 0.0, 0.0)], "x1 double, y1 double, x2 double, y2 double")
+    cut = blocks.clip_blocks(looks, outline, 2, 1.0, ("v",))
+    assert [r.v for r in cut.collect()] == [[1.0, None, None, None]] * 10
+    above = plan_of(cut, "optimizedPlan").split("Join")[0]
+    assert "x1" not in above and "_edges" not in above
+
+
+def test_bands_of_a_cell_in_one_shuffle(spark):
+    long = spark.createDataFrame([(1, 0, 0, "a", 2), (1, 0, 0, "a", 4), (1, 0, 0, "b", 7), (2, 1, 0, "b", None), (2, 1, 0, "c", 1)], "item_id long, cx long, cy long, band string, v long")
+    wide = grid.wide_bands(long, ["a", "b"])
+    assert sorted(map(tuple, wide.collect())) == [(1, 0, 0, 3.0, 7.0), (2, 1, 0, None, None)]
+    assert plan_of(wide).split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
