@@ -14,6 +14,8 @@ from orbitgrain.operators.grid import clip
 from orbitgrain.operators.quantiles import exact_quantiles
 
 BANDS = masks.BANDS
+#: A block's cells are reduced in so many slices at most, and so many bytes of looks are packed at a time.
+SLICES, PACKED = 16, 64 << 20
 
 
 def temporal_median(pixels: DataFrame, keys=("cx", "cy"), bands=BANDS) -> DataFrame:
@@ -24,34 +26,84 @@ def temporal_median(pixels: DataFrame, keys=("cx", "cy"), bands=BANDS) -> DataFr
 def block_median(blocks: DataFrame, keys=("bx", "by"), bands=BANDS) -> DataFrame:
     """A01, X04 for national grids: one row for each block and look, bands as arrays of float; nan or null is nodata.
 
-    A block's looks are brought together (a few dozen of one block's size) and
-    reduced by one vectorised median. A look without an array for a band has no
-    data in it; if no look has one, neither has the result. Looks of different
-    lengths are an error.
+    Tasks first pack the values that are there, in slices of cells; a slice's
+    values of one band then meet in one task, four bytes each, and are reduced
+    by one vectorised median. A look without an array for a band has no data in
+    it; if no look has one, neither has the result. Looks of different lengths
+    are an error.
     """
-    fields = ", ".join(f"{b} array<float>" for b in bands)
     kinds = {f.name: f.dataType.simpleString() for f in blocks.schema}
+    head = ", ".join(f"{k} {kinds[k]}" for k in keys)
 
-    def reduce_block(key: tuple, table: pa.Table) -> pa.Table:
-        out = {k: [v.as_py()] for k, v in zip(keys, key, strict=True)}
-        for b in bands:
-            column = pc.drop_null(table.column(b).combine_chunks())
-            if not len(column):
-                out[b] = pa.array([None], pa.list_(pa.float32()))
-                continue
-            if len(set(column.value_lengths().to_pylist())) > 1:
+    def pack(table: pa.Table):
+        """(keys, band, slice, size, counts by cell, values by cell): a row for each slice of a block's band; size is null where no look has an array."""
+        groups = table.select(keys).append_column("_i", pa.array(np.arange(len(table)))).group_by(list(keys), use_threads=False).aggregate([("_i", "list")])
+        order = groups.column("_i_list").combine_chunks()
+        of_row = np.repeat(np.arange(len(groups)), order.value_lengths().to_numpy(zero_copy_only=False))
+        table = table.take(order.flatten())
+        for n, b in enumerate(bands):
+            column = table.column(b).combine_chunks()
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            arrays, group = column.drop_null(), of_row[there]
+            sizes = arrays.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.full(len(groups), -1)
+            size[group] = sizes
+            if (size[group] != sizes).any():
                 raise ValueError(f"looks of a block have {b} in different lengths")
-            flat = pc.fill_null(column.flatten(), float("nan")).to_numpy(zero_copy_only=False)
-            stack = flat.reshape(len(column), -1)
-            some = ~np.isnan(stack).all(0)
-            middle = np.full(stack.shape[1], np.nan, np.float32)
-            middle[some] = np.nanmedian(stack[:, some], 0)
-            out[b] = pa.ListArray.from_arrays(pa.array([0, len(middle)], pa.int32()), pa.array(middle, from_pandas=True))
-        schema = pa.schema([*((k, pa.int32() if kinds[k] == "int" else pa.int64()) for k in keys), *((b, pa.list_(pa.float32())) for b in bands)])
-        return pa.table(out, schema=schema)
-
-    head = ", ".join(f"{k} {kinds[k]}" for k in keys)
-    return blocks.select(*keys, *bands).groupBy(*keys).applyInArrow(reduce_block, f"{head}, {fields}")
+            flat = arrays.flatten().to_numpy(zero_copy_only=False).astype(np.float32, copy=False)
+            known = np.flatnonzero(~np.isnan(flat))
+            starts = np.cumsum(sizes) - sizes
+            look = np.searchsorted(starts + sizes, known, side="right")
+            ahead = np.r_[0, np.cumsum(np.maximum(size, 0))]  # every cell of every block has a number
+            cell = ahead[group[look]] + known - starts[look]
+            values = flat[known][np.argsort(cell, kind="stable")]
+            counts = np.bincount(cell, minlength=ahead[-1]).astype(np.int32)
+            through = np.r_[0, np.cumsum(counts)]
+            rows = []
+            for g in range(len(groups)):
+                wide = max(1, -(-size[g] // SLICES))
+                for s in range(max(1, -(-size[g] // wide))):
+                    lo, hi = ahead[g] + s * wide, ahead[g] + min(max(size[g], 0), (s + 1) * wide)
+                    rows.append((g, s, None if size[g] < 0 else int(size[g]), counts[lo:hi].tobytes(), values[through[lo] : through[hi]].tobytes()))
+            g, s, z, c, v = zip(*rows, strict=True)
+            own = groups.select(keys).take(pa.array(g)).combine_chunks()
+            yield from pa.table([*own.columns, pa.array([n] * len(g), pa.int32()), pa.array(s, pa.int32()), pa.array(z, pa.int32()), pa.array(c, pa.binary()), pa.array(v, pa.binary())], [*keys, "band", "slice", "size", "counts", "values"]).to_batches()
+
+    def packed(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size > PACKED:
+                yield from pack(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield from pack(pa.Table.from_batches(held))
+
+    def middle(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.filter(pc.is_valid(table.column("size")))
+        sizes = set(table.column("size").to_pylist())
+        if len(sizes) > 1:
+            raise ValueError(f"looks of a block have {bands[key[-2].as_py()]} in different lengths")
+        cells = pa.array([None], pa.list_(pa.float32()))
+        if sizes:
+            counts = [np.frombuffer(c, np.int32) for c in table.column("counts").to_pylist()]
+            values = np.concatenate([np.frombuffer(x, np.float32) for x in table.column("values").to_pylist()])
+            cell = np.concatenate([np.repeat(np.arange(len(c)), c) for c in counts])
+            n = np.sum(counts, 0, dtype=np.int64)
+            values = values[np.lexsort((values, cell))]
+            some, start = np.flatnonzero(n), (np.cumsum(n) - n)
+            out = np.full(len(n), np.nan, np.float32)
+            low, high = values[(start + (n - 1) // 2)[some]], values[(start + n // 2)[some]]
+            with np.errstate(invalid="ignore", over="ignore"):
+                out[some] = np.where(low == high, low, (low + high) / np.float32(2))
+            cells = pa.ListArray.from_arrays(pa.array([0, len(out)], pa.int32()), pa.array(out, from_pandas=True))
+        return pa.table([*(pa.array([k.as_py()], k.type) for k in key), cells], [*keys, "band", "slice", "cells"])
+
+    parts = blocks.select(*keys, *(F.col(b).cast("array<float>").alias(b) for b in bands)).mapInArrow(packed, f"{head}, band int, slice int, size int, counts binary, values binary")
+    reduced = parts.groupBy(*keys, "band", "slice").applyInArrow(middle, f"{head}, band int, slice int, cells array<float>")
+    joined = (F.array_sort(F.collect_list(F.when((F.col("band") == n) & F.col("cells").isNotNull(), F.struct("slice", "cells")))).alias(b) for n, b in enumerate(bands))
+    return reduced.groupBy(*keys).agg(*joined).select(*keys, *(F.when(F.size(b) > 0, F.flatten(F.col(b)["cells"])).alias(b) for b in bands))
 
 
 def blocks_to_pixels(blocks: DataFrame, width: int = 512, bands=BANDS) -> DataFrame:

@@ -162,3 +162,15 @@ def test_bands_of_a_cell_in_one_shuffle(spark):
     wide = grid.wide_bands(long, ["a", "b"])
     assert sorted(map(tuple, wide.collect())) == [(1, 0, 0, 3.0, 7.0), (2, 1, 0, None, None)]
     assert plan_of(wide).split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_median_of_many_looks_meets_by_slices(spark):
+    """A block's looks never meet in one group, whose rows are few however many looks there are."""
+    import numpy as np
+
+    looks = spark.range(0, 60_001, 1, 3).select(F.lit(1).cast("long").alias("bx"), F.lit(-1).cast("long").alias("by"), F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.when(F.xxhash64("id", i) % 3 != 0, (F.xxhash64("id", i) % 1000).cast("float"))).alias("v"), F.lit(None).cast("array<float>").alias("w"))
+    med = composite.block_median(looks, bands=("v", "w"))
+    assert "slice" in plan_of(med, "analyzed")
+    stack = np.array([[np.nan if x is None else x for x in r.v] for r in looks.collect()], np.float32)
+    (row,) = med.collect()
+    assert (row.bx, row.by, row.w) == (1, -1, None) and row.v == np.nanmedian(stack, 0).tolist()
