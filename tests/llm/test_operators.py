@@ -148,6 +148,33 @@ def test_op1_learns_from_long_texts_alone(spark):
     assert held.score > 1.03 * held.base_score  # words drawn one by one: nothing beats their shares, and untrained mixers lose 7 %
 
 
+def test_op1_learns_from_all_texts(spark, monkeypatch):
+    """Classes, contexts, weights and curves come from every learned text and word, however many there are."""
+    texts = [" ".join(f"{a}{i}x{j}" for j in range(5)) + " common" + "c" * (i % 3) for i, a in enumerate("ab" * 450)]
+    docs, found = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), {}
+    train_texts, settle = lm_scoring.train_texts, lm_scoring.Speller.settle
+
+    def trained(*args):
+        found["model"] = train_texts(*args)
+        return found["model"]
+
+    def settled(self, w, ones, all_):
+        found["bits"] = all_.sum() - 0.1 * all_.size * found["shards"]
+        settle(self, w, ones, all_)
+
+    monkeypatch.setattr(lm_scoring, "train_texts", trained)
+    monkeypatch.setattr(lm_scoring.Speller, "settle", settled)
+    learned, words = texts[:-9], {b""}.union(*(t.encode().split() for t in texts[:-9]))
+    found["shards"] = -(-len(words) // 600)
+    lm_scoring.score_texts(docs, F.col("doc_id") >= len(learned), shard_words=600, shard_tokens=1500)
+    model = found["model"]
+    # no word comes twice in a text, so whether it was had before is asked at each word behind the first
+    assert (model.seen[1].sum((1, 2)) == sum(len(t.split()) for t in learned)).all()
+    assert found["bits"] == pytest.approx(8 * sum(len(w) + 1 for w in words))
+    assert {b"common", b"commonc", b"commoncc"} < model.classes.names and len(model.classes.names) == 512
+    assert (model.w != 0.4).any() and model.of_class.sum() == sum(len(t.split()) + 1 for t in learned)
+
+
 # 2 ------------------------------------------------------------------------
 
 
