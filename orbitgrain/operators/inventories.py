@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from orbitgrain.operators.audit import reconcile
 
 LEVELS = ("month", "day", "product")
-FILES = "product string, path string, size long, sha256 string, month string, day string"
+FILES = "product string, path string, size long, sha256 string, day string, month string"
 TREE = "month string, day string, product string, n long, h1 decimal(38,0), h2 decimal(38,0), level string"
 
 
@@ -36,9 +36,14 @@ def hash_tree(files: DataFrame) -> DataFrame:
 
 
 def write_inventory(files: DataFrame, path: str) -> None:
-    """Files partitioned by month and day, with their tree beside them, partitioned by level."""
+    """Files in folders by month and in order of days, with their tree beside them, partitioned by level.
+
+    Tasks write ranges of days (a day of very many files is several), so there
+    are few files in all, and a scan for some days skips the other ones by
+    their bounds. ``files`` is read three times; set it down first where it is dear to make.
+    """
     files = files.select(*(F.col(f.split()[0]).cast(f.split()[1]) for f in FILES.split(", ")))
-    files.repartition("month", "day").write.mode("overwrite").partitionBy("month", "day").parquet(f"{path}/files")
+    files.repartitionByRange("month", "day", F.xxhash64("path")).sortWithinPartitions("month", "day").write.mode("overwrite").partitionBy("month").parquet(f"{path}/files")
     hash_tree(files).write.mode("overwrite").partitionBy("level").parquet(f"{path}/tree")
 
 
@@ -60,7 +65,7 @@ def reconcile_inventories(spark: SparkSession, expected: str, present: str) -> D
     The trees are compared by month; only trees' days of differing months are
     compared then, and only files of differing days are read, of which those of
     differing products are joined. The numbers of differing days come to the
-    driver, to name their folders to the scan: at most one a calendar day.
+    driver, to name them to the scan: at most one a calendar day.
     """
     trees = [spark.read.schema(TREE).parquet(f"{p}/tree") for p in (expected, present)]
     months = [r.month for r in differing(*trees, "month").collect()]

@@ -236,6 +236,8 @@ def _(v):
     files = files.select("item_id", F.date_format("acquired", "yyyy-MM").alias("month"), F.date_format("acquired", "dd").alias("day"), F.concat(F.lit("p"), (F.col("item_id") % 3).cast("string")).alias("product"), F.concat_ws("/", F.lit("f"), F.col("item_id").cast("string"), "asset_key").alias("path"), F.col("bytes").alias("size"), F.lit("h").alias("sha256"), ((F.month("acquired") == 3) & (F.dayofmonth("acquired") < 9)).alias("hit"))
     k = F.when(F.col("hit"), F.col("item_id") % 7).otherwise(F.lit(6))
     path = scratch_path(files.sparkSession, "inventories")
+    files.write.parquet(f"{path}/all")
+    files = files.sparkSession.read.schema(files.schema).parquet(f"{path}/all")
     present = files.filter(k != 0).withColumns({"size": F.col("size") + F.when(k == 2, 1).otherwise(0), "sha256": F.when(k == 3, "g").otherwise("h")})
     for name, rows in (("expected", files.filter(k != 1)), ("present", present)):
         inventories.write_inventory(rows.drop("item_id", "hit"), f"{path}/{name}")

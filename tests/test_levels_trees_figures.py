@@ -75,6 +75,21 @@ def test_tree_reads_and_joins_what_differs(spark, tmp_path):
     assert same.count() == 0
 
 
+def test_inventory_files_do_not_follow_the_days(spark, tmp_path):
+    """Two hundred days of few files are written to few files, and a day of very many to several."""
+    day = F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 200)
+    rows = spark.range(20_000).select(F.format_string("2024-%02d", (day / 28 + 1).cast("int")).alias("month"), F.format_string("%02d", (day % 28 + 1).cast("int")).alias("day"), F.lit("p").alias("product"), F.col("id").cast("string").alias("path"), F.lit(1).alias("size"), F.lit("h").alias("sha256"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        inventories.write_inventory(rows, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    back = spark.read.schema(inventories.FILES).parquet(str(tmp_path / "files"))
+    assert sorted(map(tuple, back.select(rows.columns).collect())) == sorted(map(tuple, rows.collect()))
+    assert len(list((tmp_path / "files").rglob("*.parquet"))) <= 8 + 8
+    assert back.filter("month = '2024-01' and day = '08'").select(F.input_file_name()).distinct().count() > 1
+
+
 def test_tree_does_not_depend_on_order_and_counts_repeats(spark):
     rows = spark.createDataFrame(files(), COLUMNS)
     one, two = (inventories.hash_tree(x) for x in (rows, rows.orderBy(F.rand(1)).repartition(4)))
