@@ -13,6 +13,7 @@ Paths are URIs that ``pyarrow.fs`` opens (local or shared folders, HDFS, S3).
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
@@ -258,8 +259,25 @@ def read_range(manifest: DataFrame, first: int, last: int) -> np.ndarray:
 #: White space as the byte-level pre-tokenizer's pattern has it, which is Unicode's property.
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: A space beside other white space.
-ODD = re.compile(f"[{SPACE}] | [{SPACE}]")
+SPACES = re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001))))
+#: Marks that end units, and letters and digits after which they are a pre-token of their own.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS = frozenset(re.findall("[0-9A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]", "".join(map(chr, range(256)))))
+
+
+def is_odd(text: str) -> bool:
+    """A space beside other white space."""
+    return any(c + " " in text or " " + c in text for c in SPACES if c in text)
+
+
+class Units(dict):
+    """Ids of units; notes down those that it is asked for and lacks."""
+
+    def __init__(self):
+        self.lacked: list[str] = []
+
+    def __missing__(self, unit: str) -> None:
+        self.lacked.append(unit)
 
 
 class ByteLevelEncoder:
@@ -269,12 +287,15 @@ class ByteLevelEncoder:
     follows a single space; so a text's ids are those of its units, a space
     and what follows up to the next one. Where a space stands beside other
     white space, units are found by pattern instead, and a text with a special
-    string goes to the library whole. ``cache_bytes`` bounds what the cache
+    string goes to the library whole. A unit that is new goes to the library
+    in parts that its pre-tokens do not cross: its lines, and of each the marks
+    at the end, so that a word with and without a full stop is encoded once.
+    ``cache_bytes`` bounds what the cache
     holds (the half not met of late goes when it is full); units of over ``longest`` characters are
     not kept. A file with a normalizer or another pre-tokenizer is refused.
     """
 
-    def __init__(self, path: str, cache_bytes: int = 160 << 20, longest: int = 64):
+    def __init__(self, path: str, cache_bytes: int = 320 << 20, longest: int = 64):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -288,33 +309,69 @@ class ByteLevelEncoder:
         self.tok.no_padding()
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.line_end = self.tok.token_to_id("\u010a")
-        # units that begin a text and units after a space; what the young half has not met since it was begun goes with the old one
-        self.young, self.old, self.held, self.cache_bytes, self.longest = ({}, {}), ({}, {}), 0, cache_bytes, longest
+        self.between = np.array([self.line_end], "<u4").tobytes()
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        # units that begin a text or line and units after a space; what the young half has not met since it was begun goes with the old one
+        self.young, self.old, self.held, self.cache_bytes, self.longest = (Units(), Units()), (Units(), Units()), 0, cache_bytes, longest
+
+    def _encoded(self, units: list[str], after: bool) -> dict[str, bytes]:
+        """Ids of units without white space from the library, a thousand in one text.
+
+        After a space each has one token that begins with the space, its
+        first. Others are parted by line ends: the pattern makes each line end
+        a pre-token of its own there, and its id stands for no part of another.
+        """
+        out = {}
+        for i in range(0, len(units), 1000):
+            some = units[i : i + 1000]
+            ids = np.array(self._ids([" " + " ".join(some) if after else "\n".join(some)])[0], "<u4")
+            raw, cuts = ids.tobytes(), np.flatnonzero(self.spaced[ids] if after else ids == self.line_end) * 4
+            firsts, lasts = (cuts.tolist(), [*cuts[1:].tolist(), len(raw)]) if after else ([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)])
+            out.update(zip(some, (raw[a:b] for a, b in zip(firsts, lasts, strict=True)), strict=True))
+        return out
 
     def _learn(self, units: set[str], after: bool) -> dict[str, bytes]:
-        """Ids of units that the young half of the cache lacks, from the old half or the library.
-
-        Units without white space go in one text, parted by line ends: the
-        pattern makes each line end a pre-token of its own there, and its id
-        stands for no part of another.
-        """
-        before, old = " " if after else "", self.old[after]
-        new = {u: old[u] for u in units if u in old}
-        plain = [u for u in units if u not in new and u.split() == [u]]
-        for i in range(0, len(plain), 1000):
-            some = plain[i : i + 1000]
-            ids = np.array(self._ids([before + f"\n{before}".join(some)])[0], "<u4")
-            raw, cuts = ids.tobytes(), (np.flatnonzero(ids == self.line_end) * 4).tolist()
-            new.update(zip(some, (raw[a:b] for a, b in zip([0, *(c + 4 for c in cuts)], [*cuts, len(raw)], strict=True)), strict=True))
-        odd = list(units.difference(new))
+        """Ids of units that the young half of the cache lacks, from the old half or the library."""
+        old = self.old[after]
+        new = {u: old[u] for u in units if u in old} if old else {}
+        parted, odd, need = [], [], (set(), set())
+
+        def cut(line: str, kind: bool) -> tuple[bool, str, str]:
+            stem = line.rstrip(MARKS)
+            stem = stem if stem[-1:] in LETTERS else line
+            need[kind].add(stem)
+            if stem != line:
+                need[False].add(line[len(stem) :])
+            return kind, stem, line[len(stem) :]
+
+        for u in units.difference(new) if new else units:
+            if u.isalpha():
+                need[after].add(u)
+            elif (lines := u.split()) == [u] or lines == u.split("\n"):
+                parted.append((u, [cut(x, after and not i) for i, x in enumerate(lines)]))
+            else:
+                odd.append(u)
+        found, ids_of = ({}, {}), []
+        for kind in (False, True):
+            known, gone = self.young[kind], self.old[kind]
+            lacking = {u for u in need[kind] if u not in known}
+            if gone:
+                found[kind].update((u, gone[u]) for u in lacking if u in gone)
+            found[kind].update(self._encoded([u for u in lacking if u not in gone], kind))
+            ids_of.append(found[kind] if len(lacking) == len(need[kind]) else found[kind] | {u: known[u] for u in need[kind].difference(lacking)})
+        new.update((u, self.between.join([ids_of[kind][stem] + ids_of[False][tail] if tail else ids_of[kind][stem] for kind, stem, tail in lines])) for u, lines in parted)
+        before = " " if after else ""
         new.update(zip(odd, (np.array(x, "<u4").tobytes() for x in self._ids([before + u for u in odd])), strict=True))
         if self.held > self.cache_bytes // 2:
-            self.old, self.young, self.held = self.young, ({}, {}), 0
-        for u, x in new.items():
-            if len(u) <= self.longest:
-                self.young[after][u] = x
-                self.held += 180 + len(u) + len(x)
-        return new
+            self.old, self.young, self.held = self.young, (Units(), Units()), 0
+        for kind, some in ((False, found[False]), (True, found[True]), (after, new)):
+            if some and max(map(len, some)) > self.longest:
+                some = {u: x for u, x in some.items() if len(u) <= self.longest}
+            self.young[kind].update(some)
+            self.held += 180 * len(some) + sum(map(len, some)) + sum(map(len, some.values()))
+        return ids_of[after] | new
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -322,20 +379,29 @@ class ByteLevelEncoder:
     def _some(self, texts: list[str]) -> list[np.ndarray]:
         whole = [any(s in t for s in self.special) for t in texts]
         # a text is its first unit and the others of a text, each after a space, or units found by pattern
-        first, rest = [], []
+        first, rest, ends = [], [], []
         for t, w in zip(texts, whole, strict=True):
-            units = [] if w else UNIT.findall(t) if ODD.search(t) else None
-            head, *tail = (t.split(" ")) if units is None else ("",)
-            first.append([head] if units is None else units)
-            rest.append(tail)
+            if w:
+                pass
+            elif is_odd(t):
+                first += UNIT.findall(t)
+            else:
+                tail = t.split(" ")
+                first.append(tail[0])
+                del tail[0]
+                rest += tail
+            ends.append((len(first), len(rest)))
         got = []
-        for lists, after in ((first, False), (rest, True)):
+        for units, after in ((first, False), (rest, True)):
             known = self.young[after]
-            ids = [list(map(known.get, units)) for units in lists]
-            missed = {u for units, x in zip(lists, ids, strict=True) if None in x for u, y in zip(units, x, strict=True) if y is None}
-            new = self._learn(missed, after) if missed else {}
-            got.append([[new[u] if y is None else y for u, y in zip(units, x, strict=True)] if None in x else x for units, x in zip(lists, ids, strict=True)])
-        out = [np.frombuffer(b"".join(a + b), "<u4") for a, b in zip(*got, strict=True)]
+            ids, lacked, at = list(map(known.__getitem__, units)), known.lacked, -1
+            known.lacked = []
+            new = self._learn(set(lacked), after) if lacked else {}
+            for u in lacked:
+                at = ids.index(None, at + 1)
+                ids[at] = new[u]
+            got.append(ids)
+        out = [np.frombuffer(b"".join(got[0][a:b] + got[1][c:d]), "<u4") for (a, c), (b, d) in itertools.pairwise([(0, 0), *ends])]
         return [np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32) if w else x for t, w, x in zip(texts, whole, out, strict=True)]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:

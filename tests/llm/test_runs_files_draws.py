@@ -171,6 +171,16 @@ def test_op12_encoder_is_the_library(byte_level, documents):
         token_files.ByteLevelEncoder(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def test_a_word_goes_to_the_library_once_whatever_marks_and_lines_follow(byte_level):
+    encode = token_files.ByteLevelEncoder(byte_level)
+    ids, sent = encode._ids, []
+    encode._ids = lambda texts: (sent.extend(texts), ids(texts))[1]
+    texts = ["so qwzrtl qwzrtl. qwzrtl, qwzrtl.\nvbnmkx vbnmkx!?", "vbnmkx. x's. \u00bfqwzrtl? a.\n\nb it's.' 7.) \u4e2d. \u4e2d"]
+    for text in texts:
+        assert encode([text])[0].tolist() == encode.tok.encode(text, add_special_tokens=False).ids
+    assert sum(t.count(" qwzrtl") for t in sent) == 1 and sum(t.replace(" vbnmkx", "").count("vbnmkx") for t in sent) == 1
+
+
 def test_op12_against_the_library(spark, sf, documents, byte_level):
     from tokenizers import Tokenizer
 
