@@ -176,7 +176,7 @@ def _(v):
     seen = items.select("item_id", F.col("acquired").alias("item_datetime")).join(own, "item_id", "left").withColumns({"requested_assets": F.array(F.lit("a"), F.lit("b")), "missing_assets": F.array().cast("array<string>")})
     step(seen, 0)
     for t in (assets, jobs):  # all is fetched
-        t.apply(t.read().select("item_id").distinct(), 1, lambda old, new: old.withColumn("status", F.lit("completed")))
+        t.apply(t.read().select("item_id"), 1, lambda old, new: old.withColumn("status", F.lit("completed")))
     moved = seen.withColumn("href", F.when((F.col("item_id") % 3 == 0) & F.col("asset_key").like("%10m"), F.concat("href", F.lit("?v=2"))).otherwise(F.col("href")))
     moved = moved.withColumn("requested_assets", F.when(F.col("item_id") % 5 == 0, F.array(F.lit("c"))).otherwise(F.col("requested_assets")))
     for _ in range(2):  # the batch comes twice

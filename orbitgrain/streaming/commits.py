@@ -65,28 +65,32 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self._stored().drop("bucket")
 
-    def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> bool:
+    def applied(self, batch_id: int) -> bool:
+        return bool(self.log.read().filter((F.col("batch_id") == batch_id) & (F.col("step") == "applied")).limit(1).collect())
+
+    def apply(self, batch: DataFrame, batch_id: int, merge: Callable[[DataFrame, DataFrame], DataFrame], keys: DataFrame | None = None) -> bool:
         """Merge a batch with the buckets it touches; False if it was applied before.
 
         ``merge(old, new)`` gives the rows of the touched buckets; it keeps the
         keys it is given, since a bucket left without rows is not overwritten.
         The numbers
         of touched buckets, at most ``buckets``, come to the driver, so that
-        the scan reads their folders only.
+        the scan reads their folders only; they are told from ``keys``, which
+        has the batch's keys in any number of rows, where working out the batch
+        itself costs more. A large bucket is written by several tasks.
         """
         done = {r.step for r in self.log.read().filter(F.col("batch_id") == batch_id).collect()}
         if "applied" in done:
             return False
         staged = f"{self.staged}/{batch_id}"
         if "staged" not in done:
-            new = batch.withColumn("bucket", self._bucket())
-            touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())
+            touched = sorted(r.bucket for r in (batch if keys is None else keys).select(self._bucket().alias("bucket")).distinct().collect())
             old = self._stored().filter(F.col("bucket").isin(touched)).drop("bucket") if touched else self.read().limit(0)
-            merged = merge(old, new.drop("bucket")).withColumn("bucket", self._bucket())
+            merged = merge(old, batch).withColumn("bucket", self._bucket())
             merged.write.mode("overwrite").parquet(staged)
             self.log.append([(batch_id, "staged")])
         rows = self.spark.read.schema(f"{self.schema}, bucket int").parquet(staged)
-        rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.table)
+        rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.table)
         self.log.append([(batch_id, "applied")])
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(staged)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
@@ -109,12 +113,17 @@ def requeue_changed(assets: KeyedTable, jobs: KeyedTable) -> Callable[[DataFrame
     moved or is new is queued with its attempts kept. Jobs are settled before
     assets, from the assets as they were, so a batch that stopped in between
     goes on with the assets alone. Of an asset's rows in a batch the greatest
-    href counts, of an item's the latest time.
+    href counts, of an item's the latest time. The batch is set down beside the
+    jobs until both are done, so that what it is made of is worked out once.
     """
     from orbitgrain.operators.upserts import upsert_assets, upsert_jobs
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        named = batch.filter(F.col("item_id").isNotNull())
+        if jobs.applied(batch_id) and assets.applied(batch_id):
+            return
+        spark, held = batch.sparkSession, f"{jobs.staged}-seen/{batch_id}"
+        batch.filter(F.col("item_id").isNotNull()).write.mode("overwrite").parquet(held)
+        named = spark.read.schema(batch.schema).parquet(held)
         own = named.filter(F.col("asset_key").isNotNull()).groupBy("item_id", "asset_key").agg(F.max(F.struct("href", "local_path")).alias("place")).select("item_id", "asset_key", "place.*")
         items = named.groupBy("item_id").agg(F.max(F.struct("item_datetime", "requested_assets", "missing_assets")).alias("r")).select("item_id", "r.*")
 
@@ -127,8 +136,10 @@ def requeue_changed(assets: KeyedTable, jobs: KeyedTable) -> Callable[[DataFrame
             merged = merged.withColumns({"status": F.when(again, F.lit("queued")).otherwise(F.col("status")), "next_attempt_at": F.when(~again, F.col("next_attempt_at")), "last_error": F.when(again, F.lit("a source changed")).otherwise(F.col("last_error"))})
             return merged.select(*old.columns)
 
-        jobs.apply(items, batch_id, settle)
-        assets.apply(own, batch_id, upsert_assets)
+        jobs.apply(items, batch_id, settle, named)
+        assets.apply(own, batch_id, upsert_assets, named.filter(F.col("asset_key").isNotNull()))
+        folder = spark._jvm.org.apache.hadoop.fs.Path(held)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     return step
 

@@ -97,6 +97,32 @@ def test_jobs_settled_but_assets_lost(spark, tmp_path):
     assert [r.href for r in assets.read().collect()] == ["h2"] and [r.status for r in jobs.read().collect()] == ["queued"]
 
 
+def test_a_batch_of_sources_is_worked_out_once(spark, tmp_path):
+    assets, jobs = (commits.KeyedTable(spark, str(tmp_path / n), s, "item_id", 4) for n, s in (("assets", commits.ASSETS), ("jobs", commits.JOBS)))
+    step, made = commits.requeue_changed(assets, jobs), spark.sparkContext.accumulator(0)
+
+    def seen(parts):
+        for part in parts:
+            made.add(part.num_rows)
+            yield part
+
+    batch = spark.createDataFrame([(i, D, "a", "h", "p", ["a"], []) for i in range(50)], SEEN).mapInArrow(seen, SEEN)
+    for _ in range(2):
+        step(batch, 0)
+    assert made.value == 50 and jobs.read().count() == assets.read().count() == 50
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    t = commits.KeyedTable(spark, str(tmp_path), "k long, x string", "k", buckets=1)
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        t.apply(spark.range(40_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(4), 0, take_new)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    assert len(files(t.table)) > 1 and t.read().distinct().count() == 40_000
+
+
 def test_backfill_goes_on_behind_the_log(spark, tmp_path):
     plan, done = (spark, str(tmp_path / "log"), D, datetime(2024, 1, 5), 1), []
 
