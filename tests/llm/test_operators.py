@@ -175,6 +175,24 @@ def test_op1_learns_from_all_texts(spark, monkeypatch):
     assert (model.w != 0.4).any() and model.of_class.sum() == sum(len(t.split()) + 1 for t in learned)
 
 
+def test_op1_sets_no_texts_down(spark, monkeypatch):
+    """Disk: rare words go to their texts' shards, and no scratch table repeats the texts."""
+    set_down, materialize = [], lm_scoring.materialize
+    monkeypatch.setattr(lm_scoring, "materialize", lambda df, label="cut": set_down.append(df.columns) or materialize(df, label))
+    docs = spark.createDataFrame([(i, f"some words x{i} y{i // 2}") for i in range(20)], "doc_id long, text string")
+    assert lm_scoring.score_texts(docs, F.col("doc_id") % 7 == 2, shard_tokens=20).count() == 20
+    assert set_down and not any("text" in columns for columns in set_down)
+
+
+def test_op1_splits_as_bytes_do():
+    import pyarrow as pa
+
+    texts = [" a  B\n", "", "   ", "x\x0by\x0cz\r\n\tQ", "A\x1cB \xa0 É", "\x85k", "a a"]
+    ids, sizes, words = lm_scoring.words_of(pa.array(texts))
+    want = [[*t.encode().lower().split(), b""] for t in texts]
+    assert [words[i].as_py() for i in ids.tolist()] == sum(want, []) and sizes.tolist() == [len(w) for w in want]
+
+
 # 2 ------------------------------------------------------------------------
 
 
